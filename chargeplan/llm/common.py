@@ -45,6 +45,30 @@ def map_arrow(df: DataFrame, fn: Callable[[Iterator], Iterator], schema: str) ->
     return df.mapInArrow(fn, schema)
 
 
+def sum_arrays(parts: DataFrame, size: int, slices: int = 16) -> np.ndarray:
+    """Sum of float64 arrays of a fixed size, one in column x of each row: by slices on the executors, then joined here."""
+    import pyarrow as pa
+
+    step = -(-size // slices)
+
+    def sliced(batches):
+        total, any_row = np.zeros(step * slices), False
+        for b in batches:
+            for x in b.column("x"):
+                total[:size] += np.frombuffer(x.as_buffer(), np.float64)
+                any_row = True
+        if any_row:
+            yield pa.RecordBatch.from_arrays([pa.array(range(slices), pa.int32()), pa.array([p.tobytes() for p in np.split(total, slices)], pa.binary())], ["k", "x"])
+
+    def added(t):
+        return pa.table({"k": pa.array([t.column("k")[0].as_py()], pa.int32()), "x": pa.array([sum(np.frombuffer(x.as_py(), np.float64) for x in t.column("x")).tobytes()], pa.binary())})
+
+    out = np.zeros(step * slices)
+    for r in parts.mapInArrow(sliced, "k int, x binary").groupBy("k").applyInArrow(added, "k int, x binary").collect():
+        out[r["k"] * step : (r["k"] + 1) * step] = np.frombuffer(r["x"], np.float64)
+    return out[:size]
+
+
 def keep_ids(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id", bound: int = 500_000) -> DataFrame:
     """Rows of docs whose id is in the stored table ids: broadcast while it has at most ``bound`` rows (8 MB), else shuffled."""
     return docs.join(F.broadcast(ids) if ids.count() <= bound else ids, id_col, "left_semi")
@@ -158,16 +182,35 @@ def word_spans(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return e[0::2], e[1::2]
 
 
+def span_hashes(h: ByteHash, buf: np.ndarray, start: np.ndarray, end: np.ndarray, most: int = 1 << 20) -> np.ndarray:
+    """Hashes of spans in order of place; a long buffer is taken in stretches that end between spans."""
+    if not len(start):
+        return np.zeros(0, np.uint64)
+    if len(buf) <= most:
+        return h.spans(h.prefix(buf), start, end)
+    out, i = [], 0
+    while i < len(start):
+        j = max(i + 1, int(np.searchsorted(end, start[i] + most, "right")))
+        at = start[i]
+        out.append(h.spans(h.prefix(buf[at : end[j - 1]]), start[i:j] - at, end[i:j] - at))
+        i = j
+    return np.concatenate(out)
+
+
+def word_hashes(h: ByteHash, buf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, hashes) of all words."""
+    start, end = word_spans(buf)
+    return start, end, span_hashes(h, buf, start, end)
+
+
 _STEP = [U64(x) for x in (3, 0x9E3779B97F4A7C17, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)]
 
 
 def shingle_set(h: ByteHash, text: bytes, k: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the k-word shingles; the whole sequence where words are fewer; empty without words."""
-    buf = np.frombuffer(text, np.uint8)
-    start, end = word_spans(buf)
-    if not len(start):
-        return np.zeros(0, np.uint64)
-    w = h.spans(h.prefix(buf), start, end)
+    _, _, w = word_hashes(h, np.frombuffer(text, np.uint8))
+    if not len(w):
+        return w
     size = min(k, len(w))
     out = np.full(len(w) - size + 1, U64(size * 0xD6E8FEB86659FD93 % 2**64))
     for j in range(size):

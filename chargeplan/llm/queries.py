@@ -16,8 +16,46 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_join(table(spark, sf_dir, "documents"), k=4, percent=85)
 
 
+def op2_kd_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chargeplan.llm.sharding import kd_tree_shards
+
+    placed = kd_tree_shards(table(spark, sf_dir, "documents"), ["n_chars", "source", "lang"], shards=8)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op4_shortest_pack_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from chargeplan.llm.packing import pack
+
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), size=2048, end_id=1)
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chargeplan.llm.language import identify_language
+
+    return identify_language(table(spark, sf_dir, "documents"))
+
+
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chargeplan.llm.quality import score_quality
+
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chargeplan.llm.toxicity import score_toxicity
+
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op2_kd_tree_sharding": op2_kd_tree_sharding,
+    "op4_shortest_pack_first": op4_shortest_pack_first,
+    "op5_language_id": op5_language_id,
+    "op6_quality_classifier": op6_quality_classifier,
+    "op7_toxicity": op7_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {}
