@@ -49,6 +49,12 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chargeplan.llm.suffix_dedup import suffix_array_dedup
+
+    return suffix_array_dedup(table(spark, sf_dir, "documents"), span=400)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_kd_tree_sharding": op2_kd_tree_sharding,
@@ -56,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_language_id": op5_language_id,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_toxicity": op7_toxicity,
+    "op8_suffix_array_dedup": op8_suffix_array_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {}

@@ -49,3 +49,21 @@ def jaccard_components(docs, k, percent):
         edges |= {(i, j) for j, n in hits.items() if 100 * n >= percent * (len(s) + len(sets[j]) - n)}
     comp = components(docs, edges)
     return {i: (len(sets[i]), comp[i]) for i in docs}
+
+
+def repeated_bytes(texts, span):
+    """texts: list of bytes. For each, a list of flags: byte covered by a window that starts at two places or more."""
+    count = defaultdict(int)
+    for t in texts:
+        for i in range(len(t) - span + 1):
+            count[t[i : i + span]] += 1
+    out = []
+    for t in texts:
+        flags = [False] * len(t)
+        until = 0
+        for i in range(len(t)):
+            if i + span <= len(t) and count[t[i : i + span]] > 1:
+                until = i + span
+            flags[i] = i < until
+        out.append(flags)
+    return out
