@@ -55,6 +55,12 @@ def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_array_dedup(table(spark, sf_dir, "documents"), span=400)
 
 
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chargeplan.llm.decontaminate import contaminated
+
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_kd_tree_sharding": op2_kd_tree_sharding,
@@ -63,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality_classifier": op6_quality_classifier,
     "op7_toxicity": op7_toxicity,
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
+    "op9_benchmark_decontamination": op9_benchmark_decontamination,
 }
 
 ORACLE_SQL: dict[str, str] = {}
