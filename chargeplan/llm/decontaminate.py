@@ -1,7 +1,7 @@
 """Benchmark decontamination by latent semantic retrieval, longest common subsequences and answer words.
 
 One pass over all documents counts document frequencies of hashed words and sketches the term matrix of passages: every
-passage of ``window`` words is added with a random sign to one of 64 rows (a count sketch, fixed size, summed over partitions).
+passage of 32 words (the widest window) is added with a random sign to one of 64 rows (a count sketch, fixed size, summed over partitions).
 Scaling columns by IDF afterwards and taking the singular value decomposition of the sketch with the benchmark items beneath
 it gives the latent basis: a randomised SVD of the TF-IDF passages. A second pass projects windows of every document by running
 sums, and windows whose latent cosine with an item reaches ``cosine`` are candidates. In the same task candidates are checked
@@ -105,9 +105,26 @@ class Items:
             own = words_of(h, (a or "").encode()).tolist() if a else []
             rare = sorted(set(w.tolist()), key=lambda x: (-idf[x >> (64 - BITS)], x))[: max(2, len(w) // 4)]
             self.answers.append(set(own or rare))
-
-
-def _hits(items: Items, window: int, stride: int, cosine: float, share: float):
+        pairs = sorted((x, i) for i, a in enumerate(self.answers) for x in a)
+        self.answer_word, self.answer_item = np.array([x for x, _ in pairs], np.uint64), np.array([i for _, i in pairs], np.int64)
+        self.answer_need = np.array([-(-len(a) // 2) for a in self.answers])
+
+    def possible(self, words: np.ndarray) -> np.ndarray:
+        """Items at least half of whose answer words are in a document at all."""
+        if not len(self.answer_word):
+            return np.zeros(0, np.int64)
+        have = self.answer_item[np.isin(self.answer_word, words)]
+        return np.flatnonzero(np.bincount(have, minlength=len(self.ids)) >= self.answer_need)
+
+    def check(self, i: int, seen: list[int], share: float) -> int:
+        """Words of item i in order in a stretch of words, or 0 if too few words or answer words are there at all."""
+        own, here = self.words[i], set(seen)
+        if len(self.answers[i] & here) * 2 < len(self.answers[i]) or sum(x in here for x in own) < share * len(own):
+            return 0
+        return lcs(own, seen)
+
+
+def _hits(items: Items, windows: tuple[int, ...], stride: int, cosine: float, share: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         h = ByteHash(lower=True)
         basis, latent = items.basis, items.latent
@@ -116,34 +133,27 @@ def _hits(items: Items, window: int, stride: int, cosine: float, share: float):
             for doc, text in zip(b.column("doc_id").to_pylist(), as_bytes(b.column("text")), strict=True):
                 words = words_of(h, text)
                 n = len(words)
-                if not n or not len(latent):
-                    continue
+                can = items.possible(words) if n else ()
+                if not len(can):
+                    continue  # the last check would fail
                 best: dict = {}
                 for base in range(0, n, 20_000):  # a long text in stretches that overlap by a window
-                    part = words[base : base + 20_000 + window]
+                    part = words[base : base + 20_000 + max(windows)]
                     run_sum = np.zeros((len(part) + 1, basis.shape[1]), np.float32)
                     np.cumsum(basis[_features(part)], axis=0, out=run_sum[1:])
-                    first = np.arange(0, max(1, len(part) - window + stride), stride)
-                    last = np.minimum(first + window, len(part))
-                    z = run_sum[last] - run_sum[first]
-                    near = (z @ latent.T) / np.maximum(np.linalg.norm(z, axis=1), 1e-9)[:, None]
-                    # of neighbouring windows the nearest; what is checked reaches an item's length to either side
-                    high = np.pad(near, ((1, 1), (0, 0)), constant_values=-2)
-                    near = (near >= cosine) & (near >= high[:-2]) & (near > high[2:])
-                    for w, i in zip(*np.nonzero(near), strict=True):
-                        own = items.words[i]
-                        a, e = max(0, base + int(first[w]) - len(own)), base + int(last[w]) + len(own)
-                        if (i, a) in best:
-                            continue
-                        seen = words[a:e].tolist()
-                        here = set(seen)
-                        # words in common bound the subsequence from above
-                        if sum(x in here for x in own) < share * len(own) or len(items.answers[i] & here) * 2 < len(items.answers[i]):
-                            best[i, a] = 0
-                            continue
-                        best[i, a] = lcs(own, seen)
+                    for size in windows:
+                        first = np.arange(0, max(1, len(part) - size + stride), stride)
+                        last = np.minimum(first + size, len(part))
+                        z = run_sum[last] - run_sum[first]
+                        near = z @ latent[can].T >= cosine * np.maximum(np.linalg.norm(z, axis=1), 1e-9)[:, None]
+                        for w, i in zip(*np.nonzero(near), strict=True):
+                            i = int(can[i])
+                            own = items.words[i]
+                            a, e = max(0, base + int(first[w]) - len(own)), base + int(last[w]) + len(own)
+                            if (i, a, e) not in best:
+                                best[i, a, e] = items.check(i, words[a:e].tolist(), share)
                 found: dict = {}
-                for (i, a), m in best.items():
+                for (i, a, _), m in best.items():
                     if m >= share * len(items.words[i]):
                         found[i] = max(found.get(i, (0, 0)), (m, -a))
                 for i, (m, a) in sorted(found.items()):
@@ -155,7 +165,7 @@ def _hits(items: Items, window: int, stride: int, cosine: float, share: float):
     return run
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", answer_col: str | None = None, window: int = 32, stride: int = 8, rank: int = 96, cosine: float = 0.65, share: float = 0.6, most_items: int = 100_000) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", answer_col: str | None = None, windows: tuple[int, ...] = (16, 32), stride: int = 8, rank: int = 96, cosine: float = 0.55, share: float = 0.6, most_items: int = 100_000) -> DataFrame:
     """(doc_id, item_id, common, item_words, coverage, near_word): the items that a document holds, one row for each pair.
 
     A benchmark is small and fixed; more than most_items rows are refused. Null and wordless texts hold nothing and wordless items
@@ -167,8 +177,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text", answer.alias("answer")).limit(most_items + 1).collect()
     if len(rows) > most_items:
         raise ValueError(f"more than {most_items} benchmark items")
-    total = sum_arrays(map_arrow(docs, _counts(window), "x binary"), SIZE + ROWS * SIZE + 1, slices=64)
+    total = sum_arrays(map_arrow(docs, _counts(max(windows)), "x binary"), SIZE + ROWS * SIZE + 1, slices=64)
     idf = np.maximum(np.log((1 + total[-1]) / (1 + total[:SIZE])), 0) ** 1.5 + 1e-3  # sharpened, so that rare words lead
     rows = sorted(rows, key=lambda r: (r["item_id"] is None, r["item_id"], r["text"] or ""))
     items = Items([r["item_id"] for r in rows], [r["text"] for r in rows], [r["answer"] for r in rows], idf, total[SIZE:-1].reshape(ROWS, SIZE), rank)
-    return map_arrow(docs, _hits(items, window, stride, cosine, share), "doc_id long, item_id long, common int, item_words int, coverage double, near_word long")
+    return map_arrow(docs, _hits(items, windows, stride, cosine, share), "doc_id long, item_id long, common int, item_words int, coverage double, near_word long")
