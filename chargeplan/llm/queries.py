@@ -61,6 +61,19 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chargeplan.llm.common import shared_path
+    from chargeplan.llm.warc import round_trip
+
+    return round_trip(spark, table(spark, sf_dir, "pages"), shared_path(spark, "warc"))
+
+
+def op3_stable_projection_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chargeplan.llm.ann import nearest_neighbours
+
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_kd_tree_sharding": op2_kd_tree_sharding,
@@ -70,6 +83,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_toxicity": op7_toxicity,
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
+    "op10_warc": op10_warc,
+    "op3_stable_projection_ann": op3_stable_projection_ann,
 }
 
 ORACLE_SQL: dict[str, str] = {}
