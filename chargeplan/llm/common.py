@@ -74,6 +74,12 @@ def keep_ids(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id", bound: int
     return docs.join(F.broadcast(ids) if ids.count() <= bound else ids, id_col, "left_semi")
 
 
+def drop_ids(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id", bound: int = 500_000) -> DataFrame:
+    """Rows of docs whose id is not in ids; a null id is in no table. The ids are stored first, and broadcast only up to ``bound`` rows."""
+    ids = cut(ids.where(F.col(id_col).isNotNull()).distinct(), "drop")
+    return docs.join(F.broadcast(ids) if ids.count() <= bound else ids, id_col, "left_anti").select(docs.columns)
+
+
 def gapless_rank(df: DataFrame, keys: list[str], order: list[str], out: str, spread: str, rows: int, per_bucket: int = 50_000) -> DataFrame:
     """Number the rows of each key from 0 without gaps, without one task per key.
 

@@ -330,7 +330,7 @@ def _shard(span: int):
     return run
 
 
-def _removed(span: int, text: bool):
+def _removed(text: bool, carried: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = [[], [], [], [], []]
@@ -355,13 +355,13 @@ def _removed(span: int, text: bool):
             names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
             if text:
                 cols, names = [*cols, pa.array(out[4], pa.string())], [*names, "kept"]
-            yield pa.RecordBatch.from_arrays(cols, names)
+            yield pa.RecordBatch.from_arrays([*cols, *[b.column(c) for c in carried]], [*names, *carried])
 
     return run
 
 
-def suffix_array_dedup(docs: DataFrame, span: int = 400, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False, most: int = 256, shard_bytes: int = 1 << 19) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256[, kept]), one row per row of docs.
+def suffix_array_dedup(docs: DataFrame, span: int = 400, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False, carry: tuple[str, ...] = (), most: int = 256, shard_bytes: int = 1 << 19) -> DataFrame:
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256[, kept, carried columns]), one row per row of docs.
 
     Texts are UTF-8 bytes, null is empty; texts under ``span`` bytes hold no window. Repeated rows repeat each other: all their
     windows go. Null ids are handled like any other value, but null ids with one text share a result (it is the same for both).
@@ -370,7 +370,8 @@ def suffix_array_dedup(docs: DataFrame, span: int = 400, id_col: str = "doc_id",
     no_id = -(1 << 62)
     if span < 2 * GRAM + LEVELS[0]:
         raise ValueError(f"span must be at least {2 * GRAM + LEVELS[0]}")
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.encode(F.col(text_col), "UTF-8").alias("text")).withColumn("th", F.coalesce(F.xxhash64("text"), F.lit(0)))
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.encode(F.col(text_col), "UTF-8").alias("text"), *[F.col(c).alias(f"carry_{c}") for c in carry]).withColumn("th", F.coalesce(F.xxhash64("text"), F.lit(0)))
+    carried = [f"carry_{c}" for c in carry]
     named = docs.withColumn("doc_id", F.coalesce("doc_id", F.lit(no_id)))
     long = named.where(F.octet_length("text") >= span)
     rows = cut(map_arrow(long.select("doc_id", "th", "text"), _all_runs(span), _ROW), "runs")
@@ -402,8 +403,10 @@ def suffix_array_dedup(docs: DataFrame, span: int = 400, id_col: str = "doc_id",
     for more in found[1:]:
         spans = spans.unionAll(more)
     spans = spans.groupBy("doc_id", "th").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
-    wide = named.join(spans, ["doc_id", "th"], "left").select(F.when(F.col("doc_id") != no_id, F.col("doc_id")).alias("doc_id"), "text", "spans")
-    return map_arrow(wide, _removed(span, keep_text), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept string" * keep_text)
+    wide = named.join(spans, ["doc_id", "th"], "left").select(F.when(F.col("doc_id") != no_id, F.col("doc_id")).alias("doc_id"), "text", "spans", *carried)
+    kinds = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept string" * keep_text
+    kinds += "".join(f", `{c}` {wide.schema[c].dataType.simpleString()}" for c in carried)
+    return map_arrow(wide, _removed(keep_text, carried), kinds).withColumnsRenamed(dict(zip(carried, carry, strict=True)))
 
 
 def _with_rows(docs: DataFrame, rows: DataFrame) -> DataFrame:
