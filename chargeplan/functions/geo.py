@@ -45,7 +45,8 @@ def _total(values: Column) -> Column:
 
 
 def signed_area(ring: Column) -> Column:
-    return _total(_edges(ring, lambda a, b: a["x"] * b["y"] - b["x"] * a["y"])) / 2
+    ox, oy = ring[0]["x"], ring[0]["y"]  # near the ring, so that far-off origins lose no digits
+    return _total(_edges(ring, lambda a, b: (a["x"] - ox) * (b["y"] - oy) - (b["x"] - ox) * (a["y"] - oy))) / 2
 
 
 def ring_area(ring: Column) -> Column:

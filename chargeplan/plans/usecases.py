@@ -59,7 +59,7 @@ def shared(events: DataFrame, sites: DataFrame, use_case: str, weight: str, step
     e, s = events.withColumn("_g", F.lit(use_case)), sites.withColumn("_g", F.lit(use_case)).withColumn("weight", F.col(weight).cast("double"))
     placed, points = allocators.shared_allocation(e, s, "_g", steps)
     located = events.join(placed.select("event_id", "assigned_location"), "event_id").withColumn("location_id", site_id(use_case, F.col("assigned_location")))
-    out = sites.join(points.where("points > 0").select("idx", F.col("points").alias("charging_points"), F.col("capacity").alias("average_charging_capacity")), "idx").withColumn("location_id", site_id(use_case, F.col("idx")))
+    out = sites.drop("charging_points", "average_charging_capacity").join(points.where("points > 0").select("idx", F.col("points").alias("charging_points"), F.col("capacity").alias("average_charging_capacity")), "idx").withColumn("location_id", site_id(use_case, F.col("idx")))
     return Located(out, located, kpi(use_case, out, events if energy_of == "input" else located))
 
 

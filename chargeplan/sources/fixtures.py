@@ -63,17 +63,17 @@ def lots(spark: SparkSession, d: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, d: str) -> DataFrame:
-    """Two points each: (line_id, dtvw_kfz, ax, ay, bx, by, line)."""
+    """Two points each: (line_id, dtvw_kfz, ax, ay, zx, zy, line)."""
     k = F.col("n_nationkey").cast("long")
-    ends = [F.round(base + 20000 * uniform(k + off), 3).alias(n) for n, base, off in (("ax", 4540000, 41), ("ay", 3270000, 43), ("bx", 4540000, 47), ("by", 3270000, 53))]
+    ends = [F.round(base + 20000 * uniform(k + off), 3).alias(n) for n, base, off in (("ax", 4540000, 41), ("ay", 3270000, 43), ("zx", 4540000, 47), ("zy", 3270000, 53))]
     t = table(spark, d, "nation").select(k.alias("line_id"), (1000 * (1 + k)).alias("dtvw_kfz"), *ends)
-    return t.withColumn("line", F.array(F.struct(F.col("ax").alias("x"), F.col("ay").alias("y")), F.struct(F.col("bx").alias("x"), F.col("by").alias("y"))))
+    return t.withColumn("line", F.array(F.struct(F.col("ax").alias("x"), F.col("ay").alias("y")), F.struct(F.col("zx").alias("x"), F.col("zy").alias("y"))))
 
 
 def parcels(spark: SparkSession, d: str) -> DataFrame:
     """Axis-aligned rectangles: (lot_id, x0, y0, x1, y1, ring)."""
     k = F.col("n_nationkey").cast("long")
-    x0, y0 = F.round(4540000 + 18000 * uniform(k + 61), 3), F.round(3270000 + 18000 * uniform(k + 67), 3)
+    x0, y0 = F.round(4539700 + 20000 * uniform(k + 29), 3), F.round(3269700 + 20000 * uniform(k + 1000031), 3)
     t = table(spark, d, "nation").select(k.alias("lot_id"), x0.alias("x0"), y0.alias("y0"), F.round(x0 + 100 + 1500 * uniform(k + 71), 3).alias("x1"), F.round(y0 + 100 + 1500 * uniform(k + 73), 3).alias("y1"))
     corner = lambda a, b: F.struct(F.col(a).alias("x"), F.col(b).alias("y"))
     return t.withColumn("ring", F.array(corner("x0", "y0"), corner("x1", "y0"), corner("x1", "y1"), corner("x0", "y1")))
@@ -102,9 +102,9 @@ SQL = {
     "sta": f"sta AS (SELECT s_suppkey AS idx, cast(1 + s_suppkey % 3 AS int) AS charging_points, {_sxy('s_suppkey', 17)} FROM supplier)",
     "lot": f"lot AS (SELECT p_partkey AS idx, p_size * 10 AS area, p_size AS weight, {_sxy('p_partkey', 29)} FROM part)",
     "lin": "lin AS (SELECT cast(n_nationkey AS bigint) AS line_id, cast(1000 * (1 + n_nationkey) AS bigint) AS dtvw_kfz, "
-    + ", ".join(f"round({base} + 20000 * {_u(f'cast(n_nationkey AS bigint) + {off}')}, 3) AS {n}" for n, base, off in (("ax", 4540000, 41), ("ay", 3270000, 43), ("bx", 4540000, 47), ("by", 3270000, 53)))
+    + ", ".join(f"round({base} + 20000 * {_u(f'cast(n_nationkey AS bigint) + {off}')}, 3) AS {n}" for n, base, off in (("ax", 4540000, 41), ("ay", 3270000, 43), ("zx", 4540000, 47), ("zy", 3270000, 53)))
     + " FROM nation)",
-    "par": f"""par0 AS (SELECT cast(n_nationkey AS bigint) AS lot_id, round(4540000 + 18000 * {_u('cast(n_nationkey AS bigint) + 61')}, 3) AS x0, round(3270000 + 18000 * {_u('cast(n_nationkey AS bigint) + 67')}, 3) AS y0 FROM nation),
+    "par": f"""par0 AS (SELECT cast(n_nationkey AS bigint) AS lot_id, round(4539700 + 20000 * {_u('cast(n_nationkey AS bigint) + 29')}, 3) AS x0, round(3269700 + 20000 * {_u('cast(n_nationkey AS bigint) + 1000031')}, 3) AS y0 FROM nation),
       par AS (SELECT *, round(x0 + 100 + 1500 * {_u('lot_id + 71')}, 3) AS x1, round(y0 + 100 + 1500 * {_u('lot_id + 73')}, 3) AS y1 FROM par0)""",
 }
 
