@@ -6,7 +6,7 @@ Scaling columns by IDF afterwards and taking the singular value decomposition of
 it gives the latent basis: a randomised SVD of the TF-IDF passages. A second pass projects windows of every document by running
 sums, and windows whose latent cosine with an item reaches ``cosine`` are candidates. In the same task candidates are checked
 word by word: the longest common subsequence must cover ``share`` of the item, and at least half of the item's answer words
-(its rarest words, or those of an answer column) must stand in the window.
+(the rarer half of its words, or those of an answer column) must stand in the window.
 """
 
 from __future__ import annotations
@@ -103,7 +103,7 @@ class Items:
         self.answers = []
         for (_, w, a) in keep:
             own = words_of(h, (a or "").encode()).tolist() if a else []
-            rare = sorted(set(w.tolist()), key=lambda x: (-idf[x >> (64 - BITS)], x))[: max(2, len(w) // 4)]
+            rare = sorted(set(w.tolist()), key=lambda x: (-idf[x >> (64 - BITS)], x))[: max(2, len(w) // 2)]
             self.answers.append(set(own or rare))
         pairs = sorted((x, i) for i, a in enumerate(self.answers) for x in a)
         self.answer_word, self.answer_item = np.array([x for x, _ in pairs], np.uint64), np.array([i for _, i in pairs], np.int64)
