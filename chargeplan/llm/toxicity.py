@@ -1,6 +1,6 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
-Features are hashed 5-byte grams inside words (A-Z as a-z). Their document frequencies are counted over all documents and over
+Features are hashed grams of 4 and 5 bytes inside words, beginnings of words and whole words (A-Z as a-z). Their document frequencies are counted over all documents and over
 the confirmed toxic ones of the training fold; the grams that stand out most among the toxic ones are kept, at most ``features``.
 Linear numpy classifiers, one a seed, are trained on a bounded sample of positives and of unlabelled texts with the
 non-negative risk pi R_p(+) + max(0, R_u(-) - pi R_p(-)); where the second term turns negative its gradient is reversed. The
@@ -16,9 +16,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chargeplan.llm.common import U64, ByteHash, as_bytes, cut, held_out, keep_ids, map_arrow, sum_arrays
+from chargeplan.llm.common import U64, ByteHash, as_bytes, cut, held_out, keep_ids, map_arrow, mix, sum_arrays
 
-BITS, GRAM = 18, 5
+BITS, GRAMS, STRETCH = 19, (4, 5), 1 << 20
 SIZE = 1 << BITS
 _STOP = np.zeros(256, bool)
 _STOP[:65], _STOP[91:97], _STOP[123:128] = True, True, True
@@ -27,17 +27,42 @@ _LOW[65:91] += U64(32)
 
 
 def grams(text: bytes) -> np.ndarray:
-    """Hashes below 2**18 of the 5-byte grams that lie inside a word; they may repeat."""
-    buf = np.frombuffer(text, np.uint8)
-    if len(buf) < GRAM:
-        return np.zeros(0, np.int64)
-    n, stop = len(buf) - GRAM + 1, np.concatenate(([0], np.cumsum(_STOP[buf])))
-    c = _LOW[buf]
-    key = c[:n].copy()
-    for j in range(1, GRAM):
-        key = (key << U64(8)) | c[j : n + j]
-    key = (key[stop[GRAM:] == stop[:-GRAM]] * U64(0x9E3779B97F4A7C15)) >> U64(64 - BITS)
-    return key.astype(np.int64)
+    """Hashes below 2**19 of what a text's words hold: grams of 4 and 5 bytes, beginnings of 5 to 8 bytes, whole words. They may repeat."""
+    out, at = [], 0
+    while at < len(text):  # a very long text in stretches that end at a space
+        end = len(text) if len(text) - at <= STRETCH else max(text.rfind(b" ", at, at + STRETCH), at) + 1
+        end = end if end > at + 1 else min(len(text), at + STRETCH)
+        out += _grams(np.frombuffer(text[at:end], np.uint8))
+        at = end
+    return np.concatenate(out) if out else np.zeros(0, np.int64)
+
+
+def _place(key: np.ndarray, salt: int) -> np.ndarray:
+    return ((mix(key + U64(salt * 0x9E3779B97F4A7C15 % 2**64))) >> U64(64 - BITS)).astype(np.int64)
+
+
+def _grams(buf: np.ndarray) -> list[np.ndarray]:
+    inside, c, out = ~_STOP[buf], _LOW[buf], []
+    edge = np.flatnonzero(np.diff(np.concatenate(([False], inside, [False])).astype(np.int8)))
+    first, last = edge[0::2], edge[1::2]
+    size, stop = last - first, np.concatenate(([0], np.cumsum(~inside)))
+    key, whole = np.zeros(len(buf), np.uint64), np.zeros(len(first), np.uint64)
+    for n in range(1, 9):
+        m = len(buf) - n + 1
+        if m < 1:
+            break
+        key = (key[:m] << U64(8)) | c[n - 1 :]
+        if n in GRAMS:
+            out.append(_place(key[stop[n:] == stop[:-n]], n))
+        if n >= 5:
+            out.append(_place(key[first[size >= n]], 16 + n))
+        exact = size == n
+        whole[exact] = key[first[exact]]
+        if n == 8:  # longer words by their first and last eight bytes and their length
+            more = size > 8
+            whole[more] = mix(key[first[more]]) ^ key[last[more] - 8] ^ (size[more].astype(np.uint64) << U64(56))
+    out.append(_place(whole[size >= 3], 32))
+    return out
 
 
 def _frequencies():
@@ -120,10 +145,12 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
         ids = cut(y.where("y = 1").select("doc_id"), "positives")
         every = sum_arrays(map_arrow(docs.select("text"), _frequencies(), "x binary"), SIZE + 1)
         among = sum_arrays(map_arrow(keep_ids(docs, ids).select("text"), _frequencies(), "x binary"), SIZE + 1)
-        p, q = among[:SIZE] / max(1, among[SIZE]), (every[:SIZE] + 1) / (every[SIZE] + 1)
-        z = (p - q) * np.sqrt(max(1, among[SIZE])) / np.sqrt(q * (1 - np.minimum(q, 0.999)))
-        kept = np.argsort(-z, kind="stable")[:features]
-        kept = kept[(z[kept] > 4) & (among[kept] >= 3)]
+        # signed deviance of the count among toxic texts from what all texts let expect; a chance gram seldom reaches 25
+        expected = (every[:SIZE] + 1) / (every[SIZE] + 1) * max(1, among[SIZE])
+        k = among[:SIZE]
+        deviance = np.where(k > expected, 2 * (k * np.log(np.maximum(k, 1) / expected) - (k - expected)), 0)
+        kept = np.argsort(-deviance, kind="stable")[:features]
+        kept = kept[deviance[kept] > 25]
         place[kept] = np.arange(len(kept))
         chosen = lambda d, share, salt: d.where(F.pmod(F.xxhash64("doc_id", F.lit(salt)), F.lit(1 << 20)) < int(min(1.0, share) * (1 << 20)))
         take = lambda d: [r["x"] for r in map_arrow(d.select("text"), _rows(place, len(kept)), "x binary").collect()]
