@@ -4,7 +4,7 @@ Features are hashed grams of 4 and 5 bytes inside words, beginnings of words and
 the confirmed toxic ones of the training fold; the grams that stand out most among the toxic ones are kept, at most ``features``.
 Linear numpy classifiers, one a seed, are trained on a bounded sample of positives and of unlabelled texts with the
 non-negative risk pi R_p(+) + max(0, R_u(-) - pi R_p(-)); where the second term turns negative its gradient is reversed. The
-class prior pi is the share of toxic labels in the training fold. The score is the mean of the classifiers' sigmoids.
+class prior pi is the share of toxic labels in the training fold, or less where a gram's frequencies bound it. The score is the mean of the classifiers' sigmoids.
 """
 
 from __future__ import annotations
@@ -108,13 +108,13 @@ def sigmoid(z):
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def fit_nnpu(pos: np.ndarray, unl: np.ndarray, prior: float, seed: int, epochs: int = 40, batch: int = 1024, rate: float = 0.03, l2: float = 1e-4, gamma: float = 1.0) -> np.ndarray:
+def fit_nnpu(pos: np.ndarray, unl: np.ndarray, prior: float, seed: int, rounds: int = 1500, batch: int = 1024, rate: float = 0.03, l2: float = 1e-4, gamma: float = 1.0) -> np.ndarray:
     """Weights of a linear classifier under the non-negative PU risk with the logistic loss, by Adam."""
     rng = np.random.default_rng(seed)
     w = np.zeros(pos.shape[1])
     m, v, t = np.zeros_like(w), np.zeros_like(w), 0
     steps = max(1, -(-len(unl) // batch))
-    for _ in range(epochs):
+    for _ in range(-(-rounds // steps)):
         pu, pp = rng.permutation(len(unl)), rng.permutation(len(pos))
         for i in range(steps):
             u, p = unl[pu[i::steps]], pos[pp[i::steps] if len(pos) >= steps else pp]
@@ -145,20 +145,24 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
         ids = cut(y.where("y = 1").select("doc_id"), "positives")
         every = sum_arrays(map_arrow(docs.select("text"), _frequencies(), "x binary"), SIZE + 1)
         among = sum_arrays(map_arrow(keep_ids(docs, ids).select("text"), _frequencies(), "x binary"), SIZE + 1)
-        # signed deviance of the count among toxic texts from what all texts let expect; a chance gram seldom reaches 25
+        # signed deviance of the count among toxic texts from what all texts let expect; of 2**19 grams a seventh of one reaches 30 by chance
         expected = (every[:SIZE] + 1) / (every[SIZE] + 1) * max(1, among[SIZE])
         k = among[:SIZE]
         deviance = np.where(k > expected, 2 * (k * np.log(np.maximum(k, 1) / expected) - (k - expected)), 0)
         kept = np.argsort(-deviance, kind="stable")[:features]
-        kept = kept[deviance[kept] > 25]
+        kept = kept[deviance[kept] > 30]
         place[kept] = np.arange(len(kept))
+        # whatever a gram is, all texts hold it at least pi times as often as toxic ones do: an upper bound of the class prior
+        sure = kept[k[kept] >= 30]
+        bounds = every[sure] / max(1, every[SIZE]) / (k[sure] / max(1, among[SIZE])) * np.where(k[sure] < 100, 1 + 2 / np.sqrt(k[sure]), 1.0)
+        prior = min([toxic / n, 0.95, *bounds])
         chosen = lambda d, share, salt: d.where(F.pmod(F.xxhash64("doc_id", F.lit(salt)), F.lit(1 << 20)) < int(min(1.0, share) * (1 << 20)))
         take = lambda d: [r["x"] for r in map_arrow(d.select("text"), _rows(place, len(kept)), "x binary").collect()]
         pos = take(keep_ids(docs, cut(chosen(ids, most / toxic, "p"), "sample")))
         unl = take(chosen(docs.where("doc_id IS NOT NULL").where(~held_out("doc_id", 5, 0)), most / max(1, every[SIZE]), "u"))
         if pos and unl:
             pos, unl = _dense(sorted(pos), len(kept)), _dense(sorted(unl), len(kept))
-            weights = np.stack([fit_nnpu(pos, unl, min(0.95, toxic / n), s) for s in range(seeds)])
+            weights = np.stack([fit_nnpu(pos, unl, prior, s) for s in range(seeds)])
     m = int((place >= 0).sum())
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
