@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from chargeplan.llm.common import U64, ByteHash, cut, keep_ids, map_arrow, mix
 
 GRAM = 40
-LEVELS = (48, 8, 1)
+LEVELS = (128, 32, 8, 1)
 SEPARATOR = 255
 
 # ---- the kernel: suffix array by induced sorting, permuted common prefixes ----
@@ -395,7 +395,8 @@ def suffix_array_dedup(docs: DataFrame, span: int = 400, id_col: str = "doc_id",
         if not size:
             break
         hot = several.where(F.col("k") > most).select("key")
-        todo = cut(rows.join(hot, "key", "left_semi").select("doc_id", "th", "key", "ctx", "start", "n"), "hot")
+        # one place of each context is enough: where a context stands twice, all its places are settled above
+        todo = cut(groups.join(hot, "key", "left_semi").select("key", "ctx", "one.*"), "hot")
         if todo.isEmpty():
             break
         rows = cut(map_arrow(_with_rows(long, todo), _smaller_blocks(span, size), _ROW), "blocks")
