@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from chargeplan.config import ScenarioConfig
 from chargeplan.functions import scalars as S
-from chargeplan.operators import allocators, intervals
+from chargeplan.operators import allocators, intervals, relational
 from chargeplan.plans import usecases
 from chargeplan.plans.basic_queries import PPC_USE_CASE
 from chargeplan.plans.registry import query
@@ -22,10 +22,10 @@ STEPS = 4096
 PPC_MEANS = {101: (1.1, 6.8), 102: (2.4, 6.9), 103: (0.7, 3.1), 104: (1.7, 6.7), 201: (0.9, 5.3), 301: (0.9, 7.0), 302: (1.4, 5.4), 401: (2.4, 5.5), 402: (2.4, 6.2), 403: (2.1, 5.1)}
 
 
-def _grouped(spark, d, n: int = 500):
-    """Events by use case, and every group's own copy of n candidate sites."""
+def _grouped(spark, d):
+    """Events by use case, and every group's own copy of all lots as candidate sites, numbered 0..n-1 by id."""
     e = X.events(spark, d)
-    s = X.lots(spark, d).where(F.col("idx") < n).select("idx", F.col("weight").cast("double").alias("weight"))
+    s = relational.dense_index(X.lots(spark, d).select("idx", F.col("weight").cast("double").alias("weight")), "idx")
     groups = e.select("charging_use_case").distinct()
     return e, s.crossJoin(F.broadcast(groups))
 
