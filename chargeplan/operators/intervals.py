@@ -16,6 +16,12 @@ def activity(events: DataFrame, by: list[str], start: str = START, time: str = T
     return steps.groupBy("step", *by).agg(F.count(F.lit(1)).alias("active"))
 
 
+def last_step(events: DataFrame, start: str = START, time: str = TIME) -> int:
+    """Last step at which an event is active; -1 without events."""
+    last = events.where(F.col(time) > 0).agg(F.max(F.col(start) + F.col(time)) - 1).first()[0]
+    return -1 if last is None else int(last)
+
+
 def wide_activity(events: DataFrame, by: str, values: list[str], first: int, last: int, start: str = START, time: str = TIME) -> DataFrame:
     """One column a value, one row a step of first..last, zero where nothing is active."""
     counts = activity(events, [by], start, time).groupBy("step").pivot(by, values).agg(F.first("active"))

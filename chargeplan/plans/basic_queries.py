@@ -179,7 +179,9 @@ def activity_timeline_long(spark, d):
 
 @query(with_sql("ev", _STEPS + "SELECT g.step, " + ", ".join(f"count(*) FILTER (charging_use_case = '{u}') AS {u}" for u in USES) + " FROM (SELECT unnest(range(0, 3001)) AS step) g LEFT JOIN st USING (step) GROUP BY g.step"))
 def activity_timeline_wide(spark, d):
-    return intervals.wide_activity(X.events(spark, d), "charging_use_case", USES, 0, 3000)
+    """Steps 0..3000 at least, and as many more as the table's events reach."""
+    e = X.events(spark, d)
+    return intervals.wide_activity(e, "charging_use_case", USES, 0, max(3000, intervals.last_step(e)))
 
 
 @query(with_sql("ev", """, dl AS (SELECT location_id, t, sum(dd) AS dd FROM (SELECT event_id % 97 AS location_id, event_start AS t, 1 AS dd FROM ev UNION ALL SELECT event_id % 97, event_start + event_time, -1 FROM ev) x GROUP BY ALL),
@@ -221,7 +223,9 @@ _DAY = "(hour % 24 BETWEEN 8 AND 20)"
 
 @query(with_sql("ev", _HOURLY + " UNION ALL ".join(f"SELECT '{u}' AS use_case, cast(trunc(quantile_cont({u}, 0.99)) AS int) AS p_all, cast(trunc(quantile_cont({u}, 0.99) FILTER (hour < 168 AND {_DAY})) AS int) AS p_day, cast(trunc(quantile_cont({u}, 0.99) FILTER (hour < 168 AND NOT {_DAY})) AS int) AS p_night FROM h" for u in USES)))
 def p99_day_night(spark, d):
-    wide = intervals.wide_activity(X.events(spark, d), "charging_use_case", USES, 0, 2799).where(F.col("step") % 4 == 0)
+    """Over all hours up to the last with an active event."""
+    e = X.events(spark, d)
+    wide = intervals.wide_activity(e, "charging_use_case", USES, 0, intervals.last_step(e)).where(F.col("step") % 4 == 0)
     return intervals.day_night_percentile(wide, F.floor(F.col("step") / 4), USES)
 
 

@@ -1,5 +1,6 @@
 """Queries take part of no table: each is held against all rows of tables made here."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
@@ -27,3 +28,17 @@ def test_allocation_takes_all_lots(spark, tmp_path):
     assert len(placed) == 400 and min(at) >= 100 and max(at) > 300 and max(at) < 400
     assert {r["overfull"] for r in queries()["alloc_shared_check"](spark, d).collect()} == {0}
     assert queries()["multi_use_shift"](spark, d).first()["overfull"] == 0
+
+
+def test_activity_reaches_the_last_event(spark, tmp_path):
+    """Events at steps 3200 and later count among all hours, in the percentile and in the wide time-line."""
+    rows = [(i, 3200 + i % 40, i, "view") for i in range(300)] + [(300, 0, 0, "view")]
+    d = made(spark, tmp_path, events=rows)
+    active = np.zeros(3400, int)
+    for i, step, _, _ in rows:
+        active[step : step + 1 + (i * 7919) % 48] += 1
+    last = int(np.flatnonzero(active)[-1])
+    wide = {r["step"]: r["street"] for r in queries()["activity_timeline_wide"](spark, d).collect()}
+    assert sorted(wide) == list(range(last + 1)) and all(wide[s] == active[s] for s in wide)
+    got = {r["use_case"]: r["p_all"] for r in queries()["p99_day_night"](spark, d).collect()}
+    assert got["street"] == int(np.percentile(active[: last + 1 : 4], 99)) > 0 and got["home"] == 0
