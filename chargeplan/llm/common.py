@@ -80,6 +80,12 @@ def drop_ids(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id", bound: int
     return docs.join(F.broadcast(ids) if ids.count() <= bound else ids, id_col, "left_anti").select(docs.columns)
 
 
+def drop_rows(docs: DataFrame, keys: DataFrame, by: tuple[str, ...], bound: int = 500_000) -> DataFrame:
+    """Rows of docs the hash of whose columns ``by``, never null, is not in column key of keys. The keys are stored first, and broadcast only up to ``bound`` rows."""
+    keys = cut(keys.select(F.col("key").alias("_key")).distinct(), "drop")
+    return docs.withColumn("_key", F.xxhash64(*by)).join(F.broadcast(keys) if keys.count() <= bound else keys, "_key", "left_anti").select(docs.columns)
+
+
 def gapless_rank(df: DataFrame, keys: list[str], order: list[str], out: str, spread: str, rows: int, per_bucket: int = 50_000) -> DataFrame:
     """Number the rows of each key from 0 without gaps, without one task per key.
 
