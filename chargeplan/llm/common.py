@@ -74,12 +74,6 @@ def keep_ids(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id", bound: int
     return docs.join(F.broadcast(ids) if ids.count() <= bound else ids, id_col, "left_semi")
 
 
-def drop_ids(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id", bound: int = 500_000) -> DataFrame:
-    """Rows of docs whose id is not in ids; a null id is in no table. The ids are stored first, and broadcast only up to ``bound`` rows."""
-    ids = cut(ids.where(F.col(id_col).isNotNull()).distinct(), "drop")
-    return docs.join(F.broadcast(ids) if ids.count() <= bound else ids, id_col, "left_anti").select(docs.columns)
-
-
 def drop_rows(docs: DataFrame, keys: DataFrame, by: tuple[str, ...], bound: int = 500_000) -> DataFrame:
     """Rows of docs the hash of whose columns ``by``, never null, is not in column key of keys. The keys are stored first, and broadcast only up to ``bound`` rows."""
     keys = cut(keys.select(F.col("key").alias("_key")).distinct(), "drop")

@@ -149,7 +149,7 @@ def fit_language(docs: DataFrame, sample: int = 800, epochs: int = 3) -> tuple[l
     return names, idf, w, t
 
 
-def _predicted(names, idf, w, t):
+def _predicted(names, idf, w, t, carry=()):
     w = (w / t).astype(np.float32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,19 +165,20 @@ def _predicted(names, idf, w, t):
                 p = softmax((_unit(at, c[at], idf).astype(np.float32) @ w[at]).astype(np.float64))
                 lang.append(names[int(p.argmax())])
                 score.append(float(p.max()))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("held_out"), pa.array(lang, pa.string()), pa.array(score, pa.float64())], ["doc_id", "held_out", "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("held_out"), pa.array(lang, pa.string()), pa.array(score, pa.float64()), *[b.column(c) for c in carry]], ["doc_id", "held_out", "lang_pred", "score", *carry])
 
     return run
 
 
-def identify_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = 800) -> DataFrame:
-    """(doc_id, held_out, lang_pred, score), one row per row of docs; rows with crc32(id) % 5 = 0 are held out of the fit.
+def identify_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = 800, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, held_out, lang_pred, score[, carried columns]), one row per row of docs; rows with crc32(id) % 5 = 0 are held out of the fit.
 
     ``und`` with score 0 where the text is null or has no letter, or where no labelled row could be learnt from. A null id is
     never held out nor learnt from. Repeated rows are predicted each. Ties go to the first language by name.
     """
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), *carry)
     docs = docs.withColumn("held_out", held_out("doc_id", 5, 0))
     model = fit_language(docs.withColumn("lang", F.when(~F.col("held_out"), F.col("lang"))), sample)
     names, idf, w, t = model or ([], np.ones(SIZE), np.zeros((SIZE, 0)), 1.0)
-    return map_arrow(docs.select("doc_id", "held_out", "text"), _predicted(names, idf, w, t), "doc_id long, held_out boolean, lang_pred string, score double")
+    kinds = "doc_id long, held_out boolean, lang_pred string, score double" + "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
+    return map_arrow(docs.select("doc_id", "held_out", "text", *carry), _predicted(names, idf, w, t, carry), kinds)
