@@ -42,3 +42,8 @@ def test_activity_reaches_the_last_event(spark, tmp_path):
     assert sorted(wide) == list(range(last + 1)) and all(wide[s] == active[s] for s in wide)
     got = {r["use_case"]: r["p_all"] for r in queries()["p99_day_night"](spark, d).collect()}
     assert got["street"] == int(np.percentile(active[: last + 1 : 4], 99)) > 0 and got["home"] == 0
+
+
+def test_retail_takes_every_parcel(spark, tmp_path):
+    spark.range(9).select(F.col("id").cast("int").alias("n_nationkey")).write.parquet(f"{tmp_path}/nation.parquet")
+    assert {r["lot_id"] for r in queries()["geodata_for_retail"](spark, str(tmp_path)).collect()} == set(range(9))
