@@ -122,9 +122,17 @@ _COUNTS = "SELECT event_start AS time_step, count(*) AS n FROM ev WHERE \"Type\"
  m AS (SELECT time_step, a.n AS n_df1, b.n AS n_df2 FROM a FULL JOIN b USING (time_step))
  SELECT cast(time_step AS bigint) AS time_step, last_value(n_df1 IGNORE NULLS) OVER w AS n_df1, last_value(n_df2 IGNORE NULLS) OVER w AS n_df2 FROM m WINDOW w AS (ORDER BY time_step ROWS UNBOUNDED PRECEDING)"""))
 def timeline_full_outer_ffill(spark, d):
+    """Starts at every step (private) and in every hour (commercial, at the hour's first step), zero where there are none."""
     e = X.events(spark, d)
-    side = lambda t, m, n: e.where((F.col("Type") == t) & (F.col("event_start") % m == 0)).groupBy(F.col("event_start").cast("long").alias("time_step")).agg(F.count(F.lit(1)).alias(n))
-    return relational.forward_fill(side("Private", 3, "n_df1").join(side("Commercial", 4, "n_df2"), "time_step", "full"), "time_step", ["n_df1", "n_df2"])
+    last = e.agg(F.max("event_start")).first()[0]
+
+    def side(t, width, n):
+        step = (F.floor(F.col("event_start") / width) * width).cast("long")
+        counts = e.where(F.col("Type") == t).groupBy(step.alias("time_step")).agg(F.count(F.lit(1)).alias(n))
+        grid = spark.range(0, 0 if last is None else last + 1, width).select(F.col("id").alias("time_step"))
+        return grid.join(counts, "time_step", "left").na.fill(0, [n])
+
+    return relational.forward_fill(side("Private", 1, "n_df1").join(side("Commercial", 4, "n_df2"), "time_step", "full"), "time_step", ["n_df1", "n_df2"])
 
 
 @query(with_sql("ev", f""", a AS ({_COUNTS.format(t='Private', m=3)}), b AS ({_COUNTS.format(t='Commercial', m=4)}), m AS (SELECT time_step, a.n AS x, b.n AS y FROM a FULL JOIN b USING (time_step)),

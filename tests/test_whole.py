@@ -47,3 +47,14 @@ def test_activity_reaches_the_last_event(spark, tmp_path):
 def test_retail_takes_every_parcel(spark, tmp_path):
     spark.range(9).select(F.col("id").cast("int").alias("n_nationkey")).write.parquet(f"{tmp_path}/nation.parquet")
     assert {r["lot_id"] for r in queries()["geodata_for_retail"](spark, str(tmp_path)).collect()} == set(range(9))
+
+
+def test_timeline_counts_every_start(spark, tmp_path):
+    rows = [(i, (i * i) % 701, i, "view") for i in range(500)]
+    got = {r["time_step"]: (r["n_df1"], r["n_df2"]) for r in queries()["timeline_full_outer_ffill"](spark, made(spark, tmp_path, events=rows)).collect()}
+    private = [step for _, step, user, _ in rows if user % 2 == 0]
+    commercial = [step for _, step, user, _ in rows if user % 2]
+    last = max(private + commercial)
+    assert got == {s: (private.count(s), sum(c // 4 == s // 4 for c in commercial)) for s in range(last + 1)}
+    sums = {r["time_step"]: r["retail"] for r in queries()["row_sums_after_fill"](spark, str(tmp_path)).collect()}
+    assert sums == {s: sum(v) for s, v in got.items() if s <= 672}
