@@ -45,28 +45,37 @@ def map_arrow(df: DataFrame, fn: Callable[[Iterator], Iterator], schema: str) ->
     return df.mapInArrow(fn, schema)
 
 
-def sum_arrays(parts: DataFrame, size: int, slices: int = 16) -> np.ndarray:
-    """Sum of float64 arrays of a fixed size, one in column x of each row: by slices on the executors, then joined here."""
+def array_slices(total: np.ndarray, slices: int) -> Iterator:
+    """An array as rows (k, p, x): slice k in bytes, made by partition p; one slice at a time, so that no second copy of the whole is held."""
     import pyarrow as pa
+    from pyspark import TaskContext
 
-    step = -(-size // slices)
+    step, p = -(-len(total) // slices), TaskContext.get().partitionId()
+    for k in range(slices):
+        yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([p], pa.int32()), pa.array([total[k * step : (k + 1) * step].tobytes()], pa.binary())], ["k", "p", "x"])
 
-    def sliced(batches):
-        total, any_row = np.zeros(step * slices), False
-        for b in batches:
-            for x in b.column("x"):
-                total[:size] += np.frombuffer(x.as_buffer(), np.float64)
-                any_row = True
-        if any_row:
-            yield pa.RecordBatch.from_arrays([pa.array(range(slices), pa.int32()), pa.array([p.tobytes() for p in np.split(total, slices)], pa.binary())], ["k", "x"])
+
+SLICES = "k int, p int, x binary"
+
+
+def sum_arrays(parts: DataFrame, size: int, slices: int = 16, kind: type = np.float64, fan: int = 128, levels: int = 3) -> np.ndarray:
+    """Sum of the arrays that the partitions of parts gave by array_slices. A task adds at most ``fan`` slices, level by level;
+    fan ** levels partitions (two million) come here as one row a slice, and more of them as one row for each so many."""
+    import pyarrow as pa
 
     def added(t):
-        return pa.table({"k": pa.array([t.column("k")[0].as_py()], pa.int32()), "x": pa.array([sum(np.frombuffer(x.as_py(), np.float64) for x in t.column("x")).tobytes()], pa.binary())})
+        total = np.float64(0)
+        for x in t.column("x"):
+            total = total + np.frombuffer(x.as_buffer(), kind)
+        return pa.table([t.column("k")[:1], pa.array([t.column("p")[0].as_py() // fan], pa.int32()), pa.array([total.astype(kind).tobytes()], pa.binary())], names=["k", "p", "x"])
 
-    out = np.zeros(step * slices)
-    for r in parts.mapInArrow(sliced, "k int, x binary").groupBy("k").applyInArrow(added, "k int, x binary").collect():
-        out[r["k"] * step : (r["k"] + 1) * step] = np.frombuffer(r["x"], np.float64)
-    return out[:size]
+    for _ in range(levels):
+        parts = parts.groupBy("k", F.expr(f"p div {fan}").alias("to")).applyInArrow(added, SLICES)
+    step, out = -(-size // slices), np.zeros(size)
+    for r in parts.collect():
+        own = np.frombuffer(r["x"], kind)
+        out[r["k"] * step : r["k"] * step + len(own)] += own
+    return out
 
 
 def keep_ids(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id", bound: int = 500_000) -> DataFrame:
@@ -136,6 +145,13 @@ def base32(hex40: Column) -> Column:
     return F.concat(*parts)
 
 
+def once(last: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Each number of at once; last is scratch space as long as the numbers' range, so the cost is that of at alone."""
+    place = np.arange(len(at), dtype=last.dtype)
+    last[at] = place
+    return at[last[at] == place]
+
+
 def held_out(doc_id: str | Column, mod: int, rest: int) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % mod == rest, F.lit(False))
 

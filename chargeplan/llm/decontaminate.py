@@ -18,9 +18,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chargeplan.llm.common import U64, ByteHash, as_bytes, map_arrow, mix, sum_arrays, word_hashes
+from chargeplan.llm.common import SLICES, U64, ByteHash, array_slices, as_bytes, map_arrow, mix, once, sum_arrays, word_hashes
 
-BITS, ROWS = 16, 64
+BITS, ROWS, ITEM_ROWS = 16, 64, 256
 SIZE = 1 << BITS
 
 
@@ -33,38 +33,22 @@ def _features(words: np.ndarray) -> np.ndarray:
 
 
 def _counts(window: int):
-    """Document frequencies, then the sketch, then the number of documents."""
+    """The sketch, then the document frequencies and the number of documents, in slices of one row of the sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        h, df, sketch, docs = ByteHash(lower=True), np.zeros(SIZE, np.int64), np.zeros(ROWS * SIZE, np.float32), 0
-        seen, hold, held = np.zeros(SIZE, bool), [], 0
-        signs = np.array([-1.0, 1.0])
-
-        def pour():
-            at, sign = np.concatenate([x for x, _ in hold]), np.concatenate([x for _, x in hold])
-            sketch[:] += np.bincount(at, signs[sign], ROWS * SIZE)
-
+        h, total, last = ByteHash(lower=True), np.zeros((ROWS + 2) * SIZE, np.float32), np.zeros(SIZE, np.int64)
+        sketch, df = total[: ROWS * SIZE], total[ROWS * SIZE : -SIZE]
         for b in batches:
             for doc, text in zip(b.column("doc_id").to_pylist(), as_bytes(b.column("text")), strict=True):
                 f = _features(words_of(h, text))
-                docs += 1
+                total[-1] += 1
                 if not len(f):
                     continue
-                seen[f] = True
-                df += seen
-                seen[f] = False
-                passages = -(-len(f) // window)
-                code = mix(np.arange(passages, dtype=np.uint64) + U64((doc or 0) % 2**64))
-                row = np.repeat(np.stack(((code >> U64(8)) % U64(ROWS), code & U64(1))).astype(np.int64), window, axis=1)[:, : len(f)]
-                hold.append((row[0] * SIZE + f, row[1]))
-                held += len(f)
-                if held > 1 << 21:
-                    pour()
-                    hold, held = [], 0
-        if hold:
-            pour()
-        total = np.concatenate((df.astype(np.float64), sketch.astype(np.float64), [docs]))
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["x"])
+                df[once(last, f)] += 1
+                code = mix(np.arange(-(-len(f) // window), dtype=np.uint64) + U64((doc or 0) % 2**64))
+                row, sign = ((code >> U64(8)) % U64(ROWS)).astype(np.int64) * SIZE, np.where(code & U64(1), np.float32(1), np.float32(-1))
+                np.add.at(sketch, np.repeat(row, window)[: len(f)] + f, np.repeat(sign, window)[: len(f)])
+        yield from array_slices(total, ROWS + 2)
 
     return run
 
@@ -82,43 +66,52 @@ def lcs(a: list, b: list) -> int:
     return len(a) - v.bit_count()
 
 
+def _norm(m: np.ndarray) -> np.ndarray:
+    return m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-9)
+
+
 class Items:
-    """The benchmark in word hashes, with its latent vectors."""
+    """The benchmark in word hashes, with its latent vectors. Its matrices have a fixed size, however many items there are."""
 
     def __init__(self, ids: list[int], texts: list[str], answers: list[str | None], idf: np.ndarray, sketch: np.ndarray, rank: int):
         h = ByteHash(lower=True)
         keep = [(i, w, a) for i, t, a in zip(ids, texts, answers, strict=True) if len(w := words_of(h, (t or "").encode()))]
-        self.ids, self.words = [i for i, _, _ in keep], [w.tolist() for _, w, _ in keep]
-        rows = np.zeros((len(keep), SIZE))
-        for r, (_, w, _) in zip(rows, keep, strict=True):
-            r += np.bincount(_features(w), minlength=SIZE) * idf
-        norm = lambda m: m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-9)
-        matrix = np.vstack((norm(sketch * idf), norm(rows)))
+        self.ids, self.words = [i for i, _, _ in keep], [w for _, w, _ in keep]
+        # beneath the sketch of the passages a sketch of the items: rows of random sign, each of length 1 before they are added
+        idf, rows, rng = idf.astype(np.float32), np.zeros((ITEM_ROWS, SIZE), np.float32), np.random.default_rng(3)
+        for r, sign, w in zip(rng.permutation(np.arange(len(keep)) % ITEM_ROWS), rng.choice([-1, 1], len(keep)), self.words, strict=True):
+            f, n = np.unique(_features(w), return_counts=True)
+            x = n * idf[f]
+            rows[r, f] += sign * x / np.linalg.norm(x)
+        matrix = np.vstack((_norm(sketch * idf), _norm(rows)))
         # right singular vectors through the small Gram matrix
-        values, left = np.linalg.eigh(matrix @ matrix.T)
-        top = [k for k in np.argsort(-values, kind="stable")[:rank] if values[k] > 1e-9]
-        right = (left[:, top] / np.sqrt(values[top])).T @ matrix
-        self.basis = np.ascontiguousarray((right.T * idf[:, None]).astype(np.float32))
-        self.latent = norm((rows / np.maximum(idf, 1e-9)) @ self.basis).astype(np.float32)
+        values, left = np.linalg.eigh((matrix @ matrix.T).astype(np.float64))
+        top = [k for k in np.argsort(-values, kind="stable")[:rank] if values[k] > 1e-6]
+        right = (left[:, top] / np.sqrt(values[top])).T.astype(np.float32) @ matrix
+        self.basis = np.ascontiguousarray(right.T * idf[:, None])
+        self.latent = _norm(np.stack([self.basis[_features(w)].sum(0) for w in self.words])) if keep else np.zeros((0, len(top)), np.float32)
         self.answers = []
-        for (_, w, a) in keep:
-            own = words_of(h, (a or "").encode()).tolist() if a else []
+        for _, w, a in keep:
+            own = np.unique(words_of(h, a.encode())).tolist() if a else []
             rare = sorted(set(w.tolist()), key=lambda x: (-idf[x >> (64 - BITS)], x))[: max(2, len(w) // 2)]
-            self.answers.append(set(own or rare))
+            self.answers.append(frozenset(own or rare))
         pairs = sorted((x, i) for i, a in enumerate(self.answers) for x in a)
         self.answer_word, self.answer_item = np.array([x for x, _ in pairs], np.uint64), np.array([i for _, i in pairs], np.int64)
-        self.answer_need = np.array([-(-len(a) // 2) for a in self.answers])
+        self.answer_need = np.array([-(-len(a) // 2) for a in self.answers], np.int64)
+        self.answer_here = np.zeros(SIZE, bool)
+        self.answer_here[_features(self.answer_word)] = True
 
     def possible(self, words: np.ndarray) -> np.ndarray:
         """Items at least half of whose answer words are in a document at all."""
-        if not len(self.answer_word):
-            return np.zeros(0, np.int64)
-        have = self.answer_item[np.isin(self.answer_word, words)]
+        words = np.unique(words[self.answer_here[_features(words)]])
+        low = np.searchsorted(self.answer_word, words, "left")
+        n = np.searchsorted(self.answer_word, words, "right") - low
+        have = self.answer_item[np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())]
         return np.flatnonzero(np.bincount(have, minlength=len(self.ids)) >= self.answer_need)
 
     def check(self, i: int, seen: list[int], share: float) -> int:
         """Words of item i in order in a stretch of words, or 0 if too few words or answer words are there at all."""
-        own, here = self.words[i], set(seen)
+        own, here = self.words[i].tolist(), set(seen)
         if len(self.answers[i] & here) * 2 < len(self.answers[i]) or sum(x in here for x in own) < share * len(own):
             return 0
         return lcs(own, seen)
@@ -177,8 +170,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text", answer.alias("answer")).limit(most_items + 1).collect()
     if len(rows) > most_items:
         raise ValueError(f"more than {most_items} benchmark items")
-    total = sum_arrays(map_arrow(docs, _counts(max(windows)), "x binary"), SIZE + ROWS * SIZE + 1, slices=64)
-    idf = np.maximum(np.log((1 + total[-1]) / (1 + total[:SIZE])), 0) ** 1.5 + 1e-3  # sharpened, so that rare words lead
+    total = sum_arrays(map_arrow(docs, _counts(max(windows)), SLICES), (ROWS + 2) * SIZE, ROWS + 2, np.float32)
+    seen = total[-2 * SIZE : -SIZE].astype(np.float64)
+    idf = np.maximum(np.log((1 + total[-1]) / (1 + seen)), 0) ** 1.5 + 1e-3  # sharpened, so that rare words lead
     rows = sorted(rows, key=lambda r: (r["item_id"] is None, r["item_id"], r["text"] or ""))
-    items = Items([r["item_id"] for r in rows], [r["text"] for r in rows], [r["answer"] for r in rows], idf, total[SIZE:-1].reshape(ROWS, SIZE), rank)
+    items = Items([r["item_id"] for r in rows], [r["text"] for r in rows], [r["answer"] for r in rows], idf, total[: -2 * SIZE].reshape(ROWS, SIZE), rank)
     return map_arrow(docs, _hits(items, windows, stride, cosine, share), "doc_id long, item_id long, common int, item_words int, coverage double, near_word long")

@@ -1,7 +1,7 @@
 """Language identification: sparse multinomial logistic regression on TF-IDF character n-grams.
 
 Texts are lower-cased, what is not a letter becomes a space, and n-grams of 1 to 3 characters are hashed into 2**15 counters.
-Document frequencies come from all documents, a fixed-size array summed by partition. The model is fitted by
+Document frequencies come from all rows that may be learnt from (a language, not held out), a fixed-size array summed by partition. The model is fitted by
 follow-the-regularised-leader (per-coordinate, elastic net) on a bounded sample, about ``sample`` documents a language chosen
 by a hash of the id, and a temperature is fitted on a fifth of that sample that training did not see.
 """
@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chargeplan.llm.common import cut, held_out, keep_ids, map_arrow, sum_arrays
+from chargeplan.llm.common import SLICES, array_slices, cut, held_out, keep_ids, map_arrow, sum_arrays
 
 BITS = 15
 SIZE = 1 << BITS
@@ -36,27 +36,26 @@ def ngram_counts(text: str | None) -> np.ndarray | None:
     c = np.where(letter, c, np.uint32(32))
     c = c[np.concatenate(([True], (c[1:] != 32) | (c[:-1] != 32)))]
     c = np.concatenate(([np.uint32(32)], c, [np.uint32(32)])).astype(np.uint32)
-    out = np.zeros(SIZE, np.int64)
-    key = c * np.uint32(0x9E3779B1)
+    out, key = [], c * np.uint32(0x9E3779B1)
     for n in range(1, 4):
         if n > 1:
             if len(c) < n:
                 break
             key = (key[:-1] ^ (key[:-1] >> np.uint32(15))) * np.uint32(0x85EBCA6B) + c[n - 1 :] * np.uint32(0xC2B2AE35)
-        out += np.bincount(((key ^ (key >> np.uint32(13))) * np.uint32(0x27D4EB2F)) >> np.uint32(32 - BITS), minlength=SIZE)
-    return out
+        out.append(((key ^ (key >> np.uint32(13))) * np.uint32(0x27D4EB2F)) >> np.uint32(32 - BITS))
+    return np.bincount(np.concatenate(out), minlength=SIZE)
 
 
 def _frequencies():
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(SIZE + 1, np.float64)
+        total = np.zeros(SIZE + 1)
         for b in batches:
             for text in b.column("text"):
                 c = ngram_counts(text.as_py())
                 if c is not None:
-                    total[:SIZE] += c > 0
+                    total[np.flatnonzero(c)] += 1
                     total[SIZE] += 1
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["x"])
+        yield from array_slices(total, 16)
 
     return run
 
@@ -70,7 +69,7 @@ def _sampled():
                 if c is not None:
                     i = np.flatnonzero(c)
                     at.append(i.astype(np.uint16).tobytes())
-                    n.append(np.minimum(c[i], 65535).astype(np.uint16).tobytes())
+                    n.append(c[i].astype(np.uint32).tobytes())
                     lang.append(name)
             yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(at, pa.binary()), pa.array(n, pa.binary())], ["lang", "at", "n"])
 
@@ -120,9 +119,9 @@ def _unit(at: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
 
 def fit_language(docs: DataFrame, sample: int = 800, epochs: int = 3) -> tuple[list[str], np.ndarray, np.ndarray, float] | None:
     """(languages, idf, weights, temperature) from rows (doc_id, text, lang); None without a usable row."""
-    total = sum_arrays(map_arrow(docs.select("text"), _frequencies(), "x binary"), SIZE + 1)
-    idf = np.log((1 + total[SIZE]) / (1 + total[:SIZE])) + 1
     learn = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
+    total = sum_arrays(map_arrow(learn.select("text"), _frequencies(), SLICES), SIZE + 1)
+    idf = np.log((1 + total[SIZE]) / (1 + total[:SIZE])) + 1
     sizes = {r["lang"]: r["n"] for r in learn.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not sizes:
         return None
@@ -137,7 +136,7 @@ def fit_language(docs: DataFrame, sample: int = 800, epochs: int = 3) -> tuple[l
     data = []
     for r in sorted(rows, key=lambda r: (r["at"], r["n"], r["lang"])):
         at = np.frombuffer(r["at"], np.uint16).astype(np.int64)
-        data.append((at, _unit(at, np.frombuffer(r["n"], np.uint16), idf), names.index(r["lang"])))
+        data.append((at, _unit(at, np.frombuffer(r["n"], np.uint32), idf), names.index(r["lang"])))
     order = np.random.default_rng(1).permutation(len(data))
     kept, seen = (order[: len(data) // 5], order[len(data) // 5 :]) if len(data) >= 50 else (order, order)
     model = Ftrl(SIZE, len(names))

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chargeplan.llm.common import ByteHash, as_bytes, cut, held_out, map_arrow, span_hashes, sum_arrays, word_spans
+from chargeplan.llm.common import SLICES, ByteHash, array_slices, as_bytes, cut, held_out, map_arrow, span_hashes, sum_arrays, word_spans
 
 BINS = 1024
 _CLASS = np.full(256, 7)
@@ -78,7 +78,7 @@ def _moments():
             if b.num_rows:
                 x = _matrix(b.column("x"))
                 total += np.concatenate((x.sum(0), (x * x).sum(0), [len(x)]))
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["x"])
+        yield from array_slices(total, 1)
 
     return run
 
@@ -106,7 +106,7 @@ def _normal_equations(fourier: Fourier):
             if b.num_rows:
                 f, y = fourier(_matrix(b.column("x"))), b.column("y").to_numpy()
                 total += np.concatenate(((f.T @ f).ravel(), f.T @ y, [len(y)]))
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["x"])
+        yield from array_slices(total, 1)
 
     return run
 
@@ -140,14 +140,14 @@ def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     stats = cut(map_arrow(docs.withColumn("held_out", held_out("doc_id", 3, 1)), _stats(), "doc_id long, held_out boolean, x binary"), "stats")
-    total = sum_arrays(map_arrow(stats.select("x"), _moments(), "x binary"), 53)
+    total = sum_arrays(map_arrow(stats.select("x"), _moments(), SLICES), 53, 1)
     mean = total[:26] / max(1, total[52])
     fourier = Fourier(mean, np.sqrt(np.maximum(0, total[26:52] / max(1, total[52]) - mean**2)), features, width)
     y = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("double").alias("y")).dropna().groupBy("doc_id").agg((F.avg("y") >= 0.5).cast("double").alias("y"))
     part = F.crc32(F.concat(F.col("doc_id").cast("string"), F.lit("c"))) % 4 == 0
     learn = cut(stats.where(~F.col("held_out")).join(y, "doc_id").select("x", "y", part.alias("calibrate")), "learn")
     m = features + 1
-    sums = sum_arrays(map_arrow(learn.where("NOT calibrate").select("x", "y"), _normal_equations(fourier), "x binary"), m * m + m + 1)
+    sums = sum_arrays(map_arrow(learn.where("NOT calibrate").select("x", "y"), _normal_equations(fourier), SLICES), m * m + m + 1, 1)
     penalty = np.eye(m) * ridge * max(1.0, sums[-1])
     penalty[-1, -1] = 1e-9
     beta = np.linalg.solve(sums[: m * m].reshape(m, m) + penalty, sums[m * m : -1])

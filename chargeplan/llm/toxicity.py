@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chargeplan.llm.common import U64, ByteHash, as_bytes, cut, held_out, keep_ids, map_arrow, mix, sum_arrays
+from chargeplan.llm.common import SLICES, U64, ByteHash, array_slices, as_bytes, cut, held_out, keep_ids, map_arrow, mix, once, sum_arrays
 
 BITS, GRAMS, STRETCH = 19, (4, 5), 1 << 20
 SIZE = 1 << BITS
@@ -67,15 +67,12 @@ def _grams(buf: np.ndarray) -> list[np.ndarray]:
 
 def _frequencies():
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, seen = np.zeros(SIZE + 1), np.zeros(SIZE, bool)
+        total, last = np.zeros(SIZE + 1), np.zeros(SIZE, np.int64)
         for b in batches:
             for text in as_bytes(b.column("text")):
-                g = grams(text)
-                seen[g] = True
-                total[:SIZE] += seen
-                seen[g] = False
+                total[once(last, grams(text))] += 1
                 total[SIZE] += 1
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["x"])
+        yield from array_slices(total, 16)
 
     return run
 
@@ -143,8 +140,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     place, weights = np.full(SIZE, -1, np.int64), np.zeros((0, 2))
     if toxic:
         ids = cut(y.where("y = 1").select("doc_id"), "positives")
-        every = sum_arrays(map_arrow(docs.select("text"), _frequencies(), "x binary"), SIZE + 1)
-        among = sum_arrays(map_arrow(keep_ids(docs, ids).select("text"), _frequencies(), "x binary"), SIZE + 1)
+        every = sum_arrays(map_arrow(docs.select("text"), _frequencies(), SLICES), SIZE + 1)
+        among = sum_arrays(map_arrow(keep_ids(docs, ids).select("text"), _frequencies(), SLICES), SIZE + 1)
         # signed deviance of the count among toxic texts from what all texts let expect; of 2**19 grams a seventh of one reaches 30 by chance
         expected = (every[:SIZE] + 1) / (every[SIZE] + 1) * max(1, among[SIZE])
         k = among[:SIZE]
