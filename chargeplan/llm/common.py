@@ -71,7 +71,7 @@ def sum_arrays(parts: DataFrame, size: int, slices: int = 16, kind: type = np.fl
 
     for _ in range(levels):
         parts = parts.groupBy("k", F.expr(f"p div {fan}").alias("to")).applyInArrow(added, SLICES)
-    step, out = -(-size // slices), np.zeros(size)
+    step, out = -(-size // slices), np.zeros(size, kind)
     for r in parts.collect():
         own = np.frombuffer(r["x"], kind)
         out[r["k"] * step : r["k"] * step + len(own)] += own

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from chargeplan.llm.common import SLICES, U64, ByteHash, array_slices, as_bytes, map_arrow, mix, once, sum_arrays, word_hashes
 
-BITS, ROWS, ITEM_ROWS = 16, 64, 256
+BITS, ROWS, ITEM_ROWS = 16, 64, 128
 SIZE = 1 << BITS
 
 
@@ -78,17 +78,20 @@ class Items:
         keep = [(i, w, a) for i, t, a in zip(ids, texts, answers, strict=True) if len(w := words_of(h, (t or "").encode()))]
         self.ids, self.words = [i for i, _, _ in keep], [w for _, w, _ in keep]
         # beneath the sketch of the passages a sketch of the items: rows of random sign, each of length 1 before they are added
-        idf, rows, rng = idf.astype(np.float32), np.zeros((ITEM_ROWS, SIZE), np.float32), np.random.default_rng(3)
+        idf, rng = idf.astype(np.float32), np.random.default_rng(3)
+        matrix = np.zeros((ROWS + ITEM_ROWS, SIZE), np.float32)
+        np.multiply(sketch, idf, out=matrix[:ROWS])
         for r, sign, w in zip(rng.permutation(np.arange(len(keep)) % ITEM_ROWS), rng.choice([-1, 1], len(keep)), self.words, strict=True):
             f, n = np.unique(_features(w), return_counts=True)
             x = n * idf[f]
-            rows[r, f] += sign * x / np.linalg.norm(x)
-        matrix = np.vstack((_norm(sketch * idf), _norm(rows)))
+            matrix[ROWS + r, f] += sign * x / np.linalg.norm(x)
+        matrix /= np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-9)
         # right singular vectors through the small Gram matrix
         values, left = np.linalg.eigh((matrix @ matrix.T).astype(np.float64))
         top = [k for k in np.argsort(-values, kind="stable")[:rank] if values[k] > 1e-6]
-        right = (left[:, top] / np.sqrt(values[top])).T.astype(np.float32) @ matrix
-        self.basis = np.ascontiguousarray(right.T * idf[:, None])
+        self.basis = matrix.T @ (left[:, top] / np.sqrt(values[top])).astype(np.float32)
+        del matrix
+        self.basis *= idf[:, None]
         self.latent = _norm(np.stack([self.basis[_features(w)].sum(0) for w in self.words])) if keep else np.zeros((0, len(top)), np.float32)
         self.answers = []
         for _, w, a in keep:
@@ -174,5 +177,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     seen = total[-2 * SIZE : -SIZE].astype(np.float64)
     idf = np.maximum(np.log((1 + total[-1]) / (1 + seen)), 0) ** 1.5 + 1e-3  # sharpened, so that rare words lead
     rows = sorted(rows, key=lambda r: (r["item_id"] is None, r["item_id"], r["text"] or ""))
-    items = Items([r["item_id"] for r in rows], [r["text"] for r in rows], [r["answer"] for r in rows], idf, total[: -2 * SIZE].reshape(ROWS, SIZE), rank)
+    items = Items([r["item_id"] for r in rows], [r["text"] for r in rows], [r["answer"] for r in rows], idf, total[: ROWS * SIZE].reshape(ROWS, SIZE), rank)
+    del total
     return map_arrow(docs, _hits(items, windows, stride, cosine, share), "doc_id long, item_id long, common int, item_words int, coverage double, near_word long")
