@@ -4,7 +4,8 @@ Features are hashed grams of 4 and 5 bytes inside words, beginnings of words and
 the confirmed toxic ones of the training fold; the grams that stand out most among the toxic ones are kept, at most ``features``.
 Linear numpy classifiers, one a seed, are trained on a bounded sample of positives and of unlabelled texts with the
 non-negative risk pi R_p(+) + max(0, R_u(-) - pi R_p(-)); where the second term turns negative its gradient is reversed. The
-class prior pi is the share of toxic labels in the training fold, or less where a gram's frequencies bound it. The score is the mean of the classifiers' sigmoids.
+class prior pi is the share of toxic labels in the training fold, or less where the frequencies of a kept gram bound it: its share of
+all texts over its share of the toxic ones, times 1 + 1 / sqrt(its count among the toxic ones). The score is the mean of the classifiers' sigmoids.
 """
 
 from __future__ import annotations
@@ -149,9 +150,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
         kept = np.argsort(-deviance, kind="stable")[:features]
         kept = kept[deviance[kept] > 30]
         place[kept] = np.arange(len(kept))
-        # whatever a gram is, all texts hold it at least pi times as often as toxic ones do: an upper bound of the class prior
-        sure = kept[k[kept] >= 30]
-        bounds = every[sure] / max(1, every[SIZE]) / (k[sure] / max(1, among[SIZE])) * np.where(k[sure] < 100, 1 + 2 / np.sqrt(k[sure]), 1.0)
+        # whatever a gram is, all texts hold it at least pi times as often as toxic ones do: an upper bound of the class prior, with one
+        # standard deviation of the gram's count as slack, one rule for every count
+        bounds = every[kept] / max(1, every[SIZE]) / (k[kept] / max(1, among[SIZE])) * (1 + 1 / np.sqrt(k[kept]))
         prior = min([toxic / n, 0.95, *bounds])
         chosen = lambda d, share, salt: d.where(F.pmod(F.xxhash64("doc_id", F.lit(salt)), F.lit(1 << 20)) < int(min(1.0, share) * (1 << 20)))
         take = lambda d: [r["x"] for r in map_arrow(d.select("text"), _rows(place, len(kept)), "x binary").collect()]
