@@ -14,8 +14,8 @@ MULTIPLIER, MODULUS = 2654435761, 4294967296
 
 
 def uniform(k: Column) -> Column:
-    """A portable uniform number in [0, 1) for an integer key: the same in any SQL engine."""
-    return ((k * F.lit(MULTIPLIER)) % F.lit(MODULUS)).cast("double") / F.lit(float(MODULUS))
+    """A portable uniform number in [0, 1) for an integer key: the same in any SQL engine. Keys from 2**31 on repeat, so that nothing overflows."""
+    return ((k % F.lit(1 << 31) * F.lit(MULTIPLIER)) % F.lit(MODULUS)).cast("double") / F.lit(float(MODULUS))
 
 
 def differs(c: Column, value) -> Column:

@@ -7,12 +7,16 @@ The order within a group decides results, so each kernel sorts by an explicit ke
 from __future__ import annotations
 
 import heapq
+from collections import defaultdict
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chargeplan.functions.scalars import uniform
+from chargeplan.operators.relational import checkpointed
+
 
 class Occupancy:
     """Rows of occupied points per step for sites in order of position, grown as sites open."""
@@ -54,10 +58,12 @@ def allocate_shared(events: pd.DataFrame, weights: np.ndarray, steps: int, share
     """(position of each event, points, truncated mean capacity, occupancy) for events in row order.
 
     With share, the lowest free opened position takes the event; else, or if none is free, a site is drawn by weight and gets
-    one point more. Draws come from one seeded stream and are consumed on misses only.
+    one point more. An event draws by its own number in column u; without that column draws come from one seeded stream, used on
+    misses only.
     """
     rng, cdf = np.random.default_rng(seed), np.cumsum(weights) / weights.sum()
     cdf /= cdf[-1]
+    draws = events["u"].to_numpy(float) if "u" in events.columns else None
     occupied, mean = Occupancy(steps), {}
     placed = np.empty(len(events), np.int64)
     for i, (start, time, capacity) in enumerate(zip(events["event_start"], events["event_time"], events["station_charging_capacity"], strict=True)):
@@ -65,7 +71,7 @@ def allocate_shared(events: pd.DataFrame, weights: np.ndarray, steps: int, share
         _check(start, end, steps)
         row = occupied.first_free(start, end) if share else None
         if row is None:
-            site = int(np.searchsorted(cdf, rng.random(), "right"))
+            site = int(np.searchsorted(cdf, rng.random() if draws is None else draws[i], "right"))
             row = occupied.row(site)
             n = occupied.points[row]
             mean[site] = (mean.get(site, 0.0) * n + capacity) / (n + 1)
@@ -146,9 +152,9 @@ def rebalance(events: pd.DataFrame, points: dict[int, int], steps: int) -> pd.Da
 
     events: event_start, event_time, location_id, candidates (ordered site ids, null for events that stay). Adds moved.
     """
-    mask = {s: np.zeros(steps, np.int32) for s in points}
+    mask = defaultdict(lambda: np.zeros(steps, np.int32))  # of sites that an event stands at or may go to
     for s, a, t in zip(events["location_id"], events["event_start"], events["event_time"], strict=True):
-        mask.setdefault(int(s), np.zeros(steps, np.int32))[int(a) : int(a) + int(t)] += 1
+        mask[int(s)][int(a) : int(a) + int(t)] += 1
     out, where, moved = events.copy(), events["location_id"].to_numpy().copy(), np.zeros(len(events), bool)
     for i, (a, t, candidates) in enumerate(zip(out["event_start"], out["event_time"], out["candidates"], strict=True)):
         a, b = int(a), int(a) + int(t)
@@ -201,13 +207,21 @@ def greedy_clusters(x: np.ndarray, y: np.ndarray, weight: np.ndarray, max_radius
 
 # ---- DataFrame forms ----
 
+
+
+def _draw(seed: int):
+    return uniform(F.col("event_id") + F.lit(seed)).alias("u")
+
+
 _PLACED = "alloc_group string, event_id long, event_start int, event_time int, assigned_location long"
 
 
-def shared_allocation(events: DataFrame, sites: DataFrame, group: str, steps: int, weight: str = "weight", share: bool = True, order: str = "event_id") -> tuple[DataFrame, DataFrame]:
-    """(placed events, sites with points): cogrouped by allocation group; sites have a dense position idx within their group.
+def shared_allocation(events: DataFrame, sites: DataFrame, group: str, steps: int, weight: str = "weight", share: bool = True, order: str = "event_id", seed: int = 1) -> tuple[DataFrame, DataFrame]:
+    """(placed events, sites with points): cogrouped by allocation group; assigned_location is the idx of a site, any unique number.
 
-    Exactness asks for one pass over a group's events in order; groups are independent use cases and run in parallel.
+    Exactness asks for one pass over a group's events in order; groups are independent use cases or regions and run in parallel.
+    An event draws by a portable uniform of its id and the seed, so it draws the same number wherever it is placed. The kernel
+    runs once: its rows are checkpointed, and both results read them.
     """
 
     def run(key, e: pd.DataFrame, s: pd.DataFrame) -> pd.DataFrame:
@@ -215,18 +229,19 @@ def shared_allocation(events: DataFrame, sites: DataFrame, group: str, steps: in
             return pd.DataFrame(columns=["kind", "alloc_group", "event_id", "assigned_location", "points", "capacity"])
         s, e = s.sort_values("idx"), e.sort_values(order, kind="stable")
         placed, points, capacity, _ = allocate_shared(e, s[weight].to_numpy(float), steps, share)
-        a = pd.DataFrame({"kind": 0, "event_id": e["event_id"].to_numpy(), "assigned_location": placed})
+        a = pd.DataFrame({"kind": 0, "event_id": e["event_id"].to_numpy(), "assigned_location": s["idx"].to_numpy()[placed]})
         b = pd.DataFrame({"kind": 1, "assigned_location": s["idx"].to_numpy(), "points": points, "capacity": capacity})
         return pd.concat([a, b]).assign(alloc_group=key[0])
 
-    e = events.select(F.col(group).alias("alloc_group"), "event_id", "event_start", "event_time", F.col("station_charging_capacity").cast("double").alias("station_charging_capacity"))
+    e = events.select(F.col(group).alias("alloc_group"), "event_id", "event_start", "event_time", F.col("station_charging_capacity").cast("double").alias("station_charging_capacity"), _draw(seed))
     s = sites.select(F.col(group).alias("alloc_group"), "idx", F.col(weight).cast("double").alias(weight))
-    both = e.groupBy("alloc_group").cogroup(s.groupBy("alloc_group")).applyInPandas(run, "kind int, alloc_group string, event_id long, assigned_location long, points long, capacity long").persist()
+    both = e.groupBy("alloc_group").cogroup(s.groupBy("alloc_group")).applyInPandas(run, "kind int, alloc_group string, event_id long, assigned_location long, points long, capacity long")
+    both = checkpointed(both)
     return both.where("kind = 0").select("alloc_group", "event_id", "assigned_location"), both.where("kind = 1").select("alloc_group", F.col("assigned_location").alias("idx"), "points", "capacity")
 
 
-def multi_use_allocation(first: DataFrame, second: DataFrame, sites: DataFrame, group: str, steps: int, shift: int, weight: str = "weight", summed: bool = True) -> DataFrame:
-    """First events allocated with sharing, then second events on the points that these leave idle; rows of the second events."""
+def multi_use_allocation(first: DataFrame, second: DataFrame, sites: DataFrame, group: str, steps: int, shift: int, weight: str = "weight", summed: bool = True, seed: int = 1) -> DataFrame:
+    """First events allocated like shared_allocation, then second events on the points that these leave idle; rows of the second events."""
 
     def run(key, t: pd.DataFrame, s: pd.DataFrame) -> pd.DataFrame:
         columns = ["alloc_group", "event_id", "event_start", "event_time", "assigned_location"]
@@ -236,9 +251,12 @@ def multi_use_allocation(first: DataFrame, second: DataFrame, sites: DataFrame,
         occupied = Occupancy(steps)
         if (t["turn"] == 0).any():
             occupied = allocate_shared(t[t["turn"] == 0], s[weight].to_numpy(float), steps)[3]
-        return place_on_existing(t[t["turn"] == 1], occupied, shift, summed).assign(alloc_group=key[0])[columns]
+        out = place_on_existing(t[t["turn"] == 1], occupied, shift, summed).assign(alloc_group=key[0])
+        hit, idx = out["assigned_location"].notna(), s["idx"].to_numpy()
+        out.loc[hit, "assigned_location"] = idx[out.loc[hit, "assigned_location"].astype(int)]
+        return out[columns]
 
-    cols = ["event_id", "event_start", "event_time", F.col("energy").cast("double").alias("energy"), F.col("station_charging_capacity").cast("double").alias("station_charging_capacity")]
+    cols = ["event_id", "event_start", "event_time", F.col("energy").cast("double").alias("energy"), F.col("station_charging_capacity").cast("double").alias("station_charging_capacity"), _draw(seed)]
     turn = lambda d, n: d.select(F.col(group).alias("alloc_group"), *cols, F.lit(n).alias("turn"))
     s = sites.select(F.col(group).alias("alloc_group"), "idx", F.col(weight).cast("double").alias(weight))
     return turn(first, 0).unionAll(turn(second, 1)).groupBy("alloc_group").cogroup(s.groupBy("alloc_group")).applyInPandas(run, _PLACED)

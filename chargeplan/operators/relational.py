@@ -2,51 +2,63 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def dense_index(df: DataFrame, key: str, out: str = "idx", first: int = 0, buckets: int = 64) -> DataFrame:
-    """Number rows by a unique numeric key, without gaps, in buckets between approximate quantiles of the key.
+def checkpointed(df: DataFrame) -> DataFrame:
+    """df, computed once and kept in the shared folder (spark.checkpoint.dir). Only a local session may do without that setting."""
+    spark = df.sparkSession
+    if not spark.sparkContext.getCheckpointDir():
+        where = spark.conf.get("spark.checkpoint.dir", None)
+        if not where and not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
+        spark.sparkContext.setCheckpointDir(where or tempfile.mkdtemp(prefix="chargeplan-"))
+    return df.checkpoint()
+
+
+def _in_order(df: DataFrame, key: str) -> DataFrame:
+    """df in as many ranges of key as there are shuffle partitions; _p is a row's range, _own its place there from 0.
 
-    No task numbers more than a bucket; the offsets come from as many counts as there are buckets.
+    The checkpoint fixes the ranges, so that later reads agree on them.
     """
-    marks = df.agg(F.percentile_approx(key, [i / buckets for i in range(1, buckets)], 1000)).first()[0] or []
-    bucket = F.lit(0)
-    for m in sorted(set(marks)):
-        bucket = bucket + F.when(F.col(key) > F.lit(m), 1).otherwise(0)
-    df = df.withColumn("_bucket", bucket)
-    counts = df.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    own = F.row_number().over(Window.partitionBy("_bucket").orderBy(key)) - 1
-    return df.withColumn("_own", own).join(F.broadcast(offsets), "_bucket").withColumn(out, (F.col("_own") + F.col("_before") + first).cast("long")).drop("_bucket", "_own", "_before")
-
-
-def running(df: DataFrame, value: Column, key: str, out: str, buckets: int = 64) -> DataFrame:
-    """Running sum of value by a numeric key, inclusive, in buckets like dense_index."""
-    marks = df.agg(F.percentile_approx(key, [i / buckets for i in range(1, buckets)], 1000)).first()[0] or []
-    bucket = F.lit(0)
-    for m in sorted(set(marks)):
-        bucket = bucket + F.when(F.col(key) > F.lit(m), 1).otherwise(0)
-    df = df.withColumn("_bucket", bucket).withColumn("_value", value)
-    sums = df.groupBy("_bucket").agg(F.sum("_value").alias("_s"))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select("_bucket", F.sum("_s").over(before).alias("_before"))
-    own = F.sum("_value").over(Window.partitionBy("_bucket").orderBy(key).rowsBetween(Window.unboundedPreceding, 0))
-    return df.withColumn("_own", own).join(F.broadcast(offsets), "_bucket").withColumn(out, F.col("_own") + F.coalesce(F.col("_before"), F.lit(0))).drop("_bucket", "_own", "_before", "_value")
-
-
-def weighted_pick(draws: DataFrame, sites: DataFrame, u: str, weight: str, key: str = "idx", cells: int = 4096) -> DataFrame:
+    df = checkpointed(df.repartitionByRange(F.col(key)).sortWithinPartitions(key))
+    row = F.monotonically_increasing_id()
+    return df.withColumn("_p", F.shiftright(row, 33)).withColumn("_own", row.bitwiseAND(F.lit((1 << 33) - 1)))
+
+
+def _before(rows: DataFrame, value: Column, out: str) -> DataFrame:
+    """Per range the sum of value over the ranges before: one row a shuffle partition."""
+    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    return rows.groupBy("_p").agg(F.sum(value).alias("_s")).select("_p", F.coalesce(F.sum("_s").over(before), F.lit(0)).alias(out))
+
+
+def dense_index(df: DataFrame, key: str, out: str = "idx", first: int = 0) -> DataFrame:
+    """Number rows by a unique numeric key, without gaps: a sort by ranges, and the ranges' sizes added up."""
+    rows = _in_order(df, key)
+    return rows.join(F.broadcast(_before(rows, F.lit(1), "_first")), "_p").withColumn(out, (F.col("_own") + F.col("_first") + first).cast("long")).drop("_p", "_own", "_first")
+
+
+def running(df: DataFrame, value: Column, key: str, out: str) -> DataFrame:
+    """Running sum of value by a numeric key, inclusive, within ranges like dense_index."""
+    rows = _in_order(df.withColumn("_value", value), key)
+    own = F.sum("_value").over(Window.partitionBy("_p").orderBy("_own").rowsBetween(Window.unboundedPreceding, 0))
+    return rows.withColumn("_sum", own).join(F.broadcast(_before(rows, F.col("_value"), "_first")), "_p").withColumn(out, F.col("_sum") + F.col("_first")).drop("_p", "_own", "_sum", "_first", "_value")
+
+
+def weighted_pick(draws: DataFrame, sites: DataFrame, u: str, weight: str, key: str = "idx") -> DataFrame:
     """For each draw u in [0, 1) the site whose share of the running weights holds it.
 
-    The range join is an equi-join: the unit interval is cut into cells, a site stands in each cell that its interval touches,
-    and a draw looks into its own cell. Rows touched are sites + cells, whatever the weights.
+    The range join is an equi-join: the unit interval is cut into as many cells as there are sites, a site stands in each cell
+    that its interval touches, and a draw looks into its own cell. Rows made are twice the sites, whatever the weights.
     """
-    total = sites.agg(F.sum(weight).alias("_total"))
-    cum = running(sites.where(F.col(weight) > 0), F.col(weight), key, "_hi").crossJoin(F.broadcast(total))
-    cum = cum.withColumn("_lo", (F.col("_hi") - F.col(weight)) / F.col("_total")).withColumn("_hi", F.col("_hi") / F.col("_total"))
-    cum = cum.withColumn("_cell", F.explode(F.sequence(F.floor(F.col("_lo") * cells), F.floor(F.least(F.col("_hi"), F.lit(1.0)) * cells)))).drop("_total")
+    ends = sites.where(F.col(weight) > 0).agg(F.sum(weight).alias("s"), F.count(F.lit(1)).alias("n")).first()
+    cells, total = max(1, ends["n"]), F.lit(ends["s"])
+    cum = running(sites.where(F.col(weight) > 0), F.col(weight), key, "_hi")
+    cum = cum.withColumn("_lo", (F.col("_hi") - F.col(weight)) / total).withColumn("_hi", F.col("_hi") / total)
+    cum = cum.withColumn("_cell", F.explode(F.sequence(F.floor(F.col("_lo") * cells), F.floor(F.least(F.col("_hi"), F.lit(1.0)) * cells))))
     draws = draws.withColumn("_cell", F.floor(F.col(u) * cells))
     return draws.join(cum, "_cell").where((F.col(u) >= F.col("_lo")) & (F.col(u) < F.col("_hi"))).drop("_cell", "_lo", "_hi")
 

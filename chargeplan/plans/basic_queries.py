@@ -115,12 +115,13 @@ def existing_semi(spark, d):
     return e.where("charging_use_case = 'street'").join(e.where("station_charging_capacity > 20").select("event_id"), "event_id", "left_semi").select("event_id", "event_start")
 
 
-_COUNTS = "SELECT event_start AS time_step, count(*) AS n FROM ev WHERE \"Type\" = '{t}' AND event_start % {m} = 0 GROUP BY event_start"
+_STARTS = """, g AS (SELECT unnest(range(0, (SELECT max(event_start) FROM ev) + 1)) AS time_step),
+ a AS (SELECT time_step, (SELECT count(*) FROM ev WHERE event_start = time_step AND "Type" = 'Private') AS n_df1 FROM g),
+ b AS (SELECT time_step, (SELECT count(*) FROM ev WHERE event_start >= time_step AND event_start < time_step + 4 AND "Type" = 'Commercial') AS n_df2 FROM g WHERE time_step % 4 = 0),
+ f AS (SELECT time_step, last_value(n_df1 IGNORE NULLS) OVER w AS n_df1, last_value(n_df2 IGNORE NULLS) OVER w AS n_df2 FROM a FULL JOIN b USING (time_step) WINDOW w AS (ORDER BY time_step ROWS UNBOUNDED PRECEDING))"""
 
 
-@query(with_sql("ev", f""", a AS ({_COUNTS.format(t='Private', m=3)}), b AS ({_COUNTS.format(t='Commercial', m=4)}),
- m AS (SELECT time_step, a.n AS n_df1, b.n AS n_df2 FROM a FULL JOIN b USING (time_step))
- SELECT cast(time_step AS bigint) AS time_step, last_value(n_df1 IGNORE NULLS) OVER w AS n_df1, last_value(n_df2 IGNORE NULLS) OVER w AS n_df2 FROM m WINDOW w AS (ORDER BY time_step ROWS UNBOUNDED PRECEDING)"""))
+@query(with_sql("ev", _STARTS + " SELECT time_step, n_df1, n_df2 FROM f"))
 def timeline_full_outer_ffill(spark, d):
     """Starts at every step (private) and in every hour (commercial, at the hour's first step), zero where there are none."""
     e = X.events(spark, d)
@@ -135,9 +136,7 @@ def timeline_full_outer_ffill(spark, d):
     return relational.forward_fill(side("Private", 1, "n_df1").join(side("Commercial", 4, "n_df2"), "time_step", "full"), "time_step", ["n_df1", "n_df2"])
 
 
-@query(with_sql("ev", f""", a AS ({_COUNTS.format(t='Private', m=3)}), b AS ({_COUNTS.format(t='Commercial', m=4)}), m AS (SELECT time_step, a.n AS x, b.n AS y FROM a FULL JOIN b USING (time_step)),
- f AS (SELECT time_step, last_value(x IGNORE NULLS) OVER w AS x, last_value(y IGNORE NULLS) OVER w AS y FROM m WINDOW w AS (ORDER BY time_step ROWS UNBOUNDED PRECEDING))
- SELECT cast(time_step AS bigint) AS time_step, x + y AS retail FROM f WHERE time_step <= 672"""))
+@query(with_sql("ev", _STARTS + " SELECT time_step, n_df1 + n_df2 AS retail FROM f WHERE time_step <= 672"))
 def row_sums_after_fill(spark, d):
     f = timeline_full_outer_ffill(spark, d).where(F.col("time_step") <= S.WEEK_STEPS)
     return f.select("time_step", (F.col("n_df1") + F.col("n_df2")).alias("retail"))
@@ -185,7 +184,7 @@ def activity_timeline_long(spark, d):
     return intervals.activity(X.events(spark, d), ["charging_use_case"]).select(F.col("step").cast("long").alias("step"), "charging_use_case", "active")
 
 
-@query(with_sql("ev", _STEPS + "SELECT g.step, " + ", ".join(f"count(*) FILTER (charging_use_case = '{u}') AS {u}" for u in USES) + " FROM (SELECT unnest(range(0, 3001)) AS step) g LEFT JOIN st USING (step) GROUP BY g.step"))
+@query(with_sql("ev", _STEPS + "SELECT g.step, " + ", ".join(f"count(*) FILTER (charging_use_case = '{u}') AS {u}" for u in USES) + " FROM (SELECT unnest(range(0, (SELECT greatest(3000, max(event_start + event_time) - 1) + 1 FROM ev))) AS step) g LEFT JOIN st USING (step) GROUP BY g.step"))
 def activity_timeline_wide(spark, d):
     """Steps 0..3000 at least, and as many more as the table's events reach."""
     e = X.events(spark, d)
@@ -225,7 +224,7 @@ def p99_by_use_case(spark, d):
     return X.events(spark, d).groupBy("charging_use_case").agg(F.percentile("event_time", F.lit(0.99)).cast("int").alias("p99"))
 
 
-_HOURLY = _STEPS + ", h AS (SELECT g.hour, " + ", ".join(f"count(*) FILTER (charging_use_case = '{u}') AS {u}" for u in USES) + " FROM (SELECT unnest(range(0, 700)) AS hour) g LEFT JOIN st ON st.step = g.hour * 4 GROUP BY g.hour) "
+_HOURLY = _STEPS + ", h AS (SELECT g.hour, " + ", ".join(f"count(*) FILTER (charging_use_case = '{u}') AS {u}" for u in USES) + " FROM (SELECT unnest(range(0, (SELECT (max(event_start + event_time) - 1) // 4 + 1 FROM ev))) AS hour) g LEFT JOIN st ON st.step = g.hour * 4 GROUP BY g.hour) "
 _DAY = "(hour % 24 BETWEEN 8 AND 20)"
 
 
@@ -260,10 +259,10 @@ def energy_prefix_to_target(spark, d):
 
 @query("SELECT concat(p_brand, ':', p_type) AS k, cast(max_by(p_size, p_partkey) AS double) AS w FROM part GROUP BY 1")
 def weights_to_map(spark, d):
-    """A map column; the last weight of a key wins."""
-    last = X.table(spark, d, "part").groupBy(F.concat_ws(":", "p_brand", "p_type").alias("k")).agg(F.max_by("p_size", "p_partkey").cast("double").alias("w"))
-    one = last.agg(F.map_from_entries(F.collect_list(F.struct("k", "w"))).alias("m"))
-    return one.select(F.explode("m").alias("k", "w"))
+    """A map column for each first key; the last weight of a key wins."""
+    last = X.table(spark, d, "part").groupBy("p_brand", "p_type").agg(F.max_by("p_size", "p_partkey").cast("double").alias("w"))
+    maps = last.groupBy("p_brand").agg(F.map_from_entries(F.collect_list(F.struct("p_type", "w"))).alias("m"))
+    return maps.select("p_brand", F.explode("m").alias("t", "w")).select(F.concat_ws(":", "p_brand", "t").alias("k"), "w")
 
 
 @query(with_sql("sta", "SELECT idx % 10 AS region, min(idx) AS location_id FROM sta WHERE charging_points > 1 GROUP BY 1"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from chargeplan.functions import geo
+from chargeplan.functions.scalars import uniform
 from chargeplan.operators import spatial
 from chargeplan.plans.registry import query
 from chargeplan.sources import fixtures as X
@@ -62,7 +63,7 @@ def eps_pairs(spark, d):
 _PAIRS = "SELECT a.idx AS a, b.idx AS b FROM lot a JOIN lot b ON sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) <= 150"
 
 
-@query()
+@query(with_sql("lot", f", pr AS MATERIALIZED ({_PAIRS}), r AS (SELECT idx, idx AS other FROM lot UNION SELECT r.idx, pr.b FROM r JOIN pr ON r.other = pr.a) SELECT idx, min(other) AS cluster FROM r GROUP BY idx").replace("WITH ", "WITH RECURSIVE ", 1))
 def cluster_components(spark, d):
     """With one sample a cluster is a component of the 150 m graph."""
     return spatial.dbscan(X.lots(spark, d), "idx", 150.0, 1).select("idx", "cluster")
@@ -116,6 +117,31 @@ def projection_round_trip(spark, d):
     return c.select("idx", (F.hypot(F.col("p.x") - F.col("x"), F.col("p.y") - F.col("y")) < 0.05).alias("same"))
 
 
+#: The ellipsoid, and the grids' origins.
+_ELLIPSOID = "6378137.0 AS a, 0.00669438002290 AS e2, radians(52) AS p0, radians(10) AS l0, radians(15) AS m0"
+
+
+def _places(spark, d):
+    k = F.col("idx")
+    return X.stations(spark, d).select("idx", (6 + uniform(k + 3) * 12).alias("lon"), (47 + uniform(k + 5) * 8).alias("lat"))
+
+
+@query(with_sql("sta", f""", c AS (SELECT idx, radians(6 + {X.U.format(k='idx + 3')} * 12) AS l, radians(47 + {X.U.format(k='idx + 5')} * 8) AS p, {_ELLIPSOID} FROM sta),
+ q AS (SELECT *, sqrt(e2) AS e, (1 - e2) * (sin(p) / (1 - e2 * sin(p) ** 2) - 1 / (2 * sqrt(e2)) * ln((1 - sqrt(e2) * sin(p)) / (1 + sqrt(e2) * sin(p)))) AS q, (1 - e2) * (sin(p0) / (1 - e2 * sin(p0) ** 2) - 1 / (2 * sqrt(e2)) * ln((1 - sqrt(e2) * sin(p0)) / (1 + sqrt(e2) * sin(p0)))) AS q0, (1 - e2) * (1 / (1 - e2) - 1 / (2 * sqrt(e2)) * ln((1 - sqrt(e2)) / (1 + sqrt(e2)))) AS qp,
+   e2 / (1 - e2) * cos(p) ** 2 AS c2, tan(p) ** 2 AS t2, (l - m0) * cos(p) AS aa, a / sqrt(1 - e2 * sin(p) ** 2) AS n,
+   a * ((1 - e2 / 4 - 3 * e2 ** 2 / 64 - 5 * e2 ** 3 / 256) * p - (3 * e2 / 8 + 3 * e2 ** 2 / 32 + 45 * e2 ** 3 / 1024) * sin(2 * p) + (15 * e2 ** 2 / 256 + 45 * e2 ** 3 / 1024) * sin(4 * p) - 35 * e2 ** 3 / 3072 * sin(6 * p)) AS m FROM c),
+ b AS (SELECT *, asin(q / qp) AS b, asin(q0 / qp) AS b0, a * sqrt(qp / 2) AS rq FROM q),
+ h AS (SELECT *, rq * sqrt(2 / (1 + sin(b0) * sin(b) + cos(b0) * cos(b) * cos(l - l0))) AS bb, a * cos(p0) / sqrt(1 - e2 * sin(p0) ** 2) / (rq * cos(b0)) AS dd FROM b)
+ SELECT idx, round(4321000 + bb * dd * cos(b) * sin(l - l0)) AS x, round(3210000 + bb / dd * (cos(b0) * sin(b) - sin(b0) * cos(b) * cos(l - l0))) AS y,
+  round(500000 + 0.9996 * n * (aa + (1 - t2 + c2) * aa ** 3 / 6 + (5 - 18 * t2 + t2 ** 2 + 72 * c2 - 58 * e2 / (1 - e2)) * aa ** 5 / 120), -1) AS east,
+  round(0.9996 * (m + n * tan(p) * (aa ** 2 / 2 + (5 - t2 + 9 * c2 + 4 * c2 ** 2) * aa ** 4 / 24 + (61 - 58 * t2 + t2 ** 2 + 600 * c2 - 330 * e2 / (1 - e2)) * aa ** 6 / 720)), -1) AS north FROM h"""))
+def projections(spark, d):
+    """Degrees to the equal-area grid, in metres, and to UTM zone 33, in tens of metres (its textbook series is no better six degrees off)."""
+    g, u = geo.to_laea(F.col("lon"), F.col("lat")), geo.to_utm(F.col("lon"), F.col("lat"))
+    near = lambda c, n: F.round(c, n)
+    return _places(spark, d).select("idx", near(g["x"], 0).alias("x"), near(g["y"], 0).alias("y"), near(u["x"], -1).alias("east"), near(u["y"], -1).alias("north"))
+
+
 #: Land uses and building kinds of places of work.
 LAND_USE_WORK = ["Gewerbe- und Industrienutzung, großflächiger Einzelhandel", "Mischnutzung"]
 BUILDINGS_WORK = [
@@ -155,7 +181,7 @@ def geodata_for_work(spark, d):
     return out.select("lot_id", "kind", F.round("area", 1).alias("area"), F.round("centroid.x", 1).alias("cx"))
 
 
-@query(with_sql("par", "SELECT lot_id, round((x1 - x0) * (y1 - y0), 1) AS area FROM par WHERE lot_id % 2 = 0"))
+@query(with_sql("par", "SELECT lot_id, round((x1 - x0) * (y1 - y0), 1) AS area FROM par"))
 def geodata_for_retail(spark, d):
     return X.parcels(spark, d).select("lot_id", F.round(geo.ring_area(F.col("ring")), 1).alias("area"))
 

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from chargeplan.config import ScenarioConfig
 from chargeplan.functions.scalars import WEEK_STEPS, differs, not_in, site_id, street_name, uniform
 from chargeplan.operators import allocators, intervals
-from chargeplan.operators.relational import dense_index, weighted_pick
+from chargeplan.operators.relational import checkpointed, dense_index, weighted_pick
+from chargeplan.operators.spatial import components, distance_join
 
 
 @dataclass
@@ -89,6 +90,12 @@ def depot(events: DataFrame, sites: DataFrame, steps: int = 2000) -> Located:
     return shared(events.where(F.col("charging_use_case") == "depot"), dense_index(sites.where("area > 1").drop("idx"), _key(sites), "idx") if "idx" not in sites.columns else sites.where("area > 1"), "depot", "area", steps, "located")
 
 
+def _offset(sites: DataFrame) -> int:
+    """Where a second layer's positions begin, so that its ids differ from those of the first."""
+    last = sites.agg(F.max("idx")).first()[0]
+    return 0 if last is None else int(last) + 1
+
+
 def _key(sites: DataFrame) -> str:
     return next(c for c in ("id", "location_id", sites.columns[0]) if c in sites.columns)
 
@@ -131,7 +138,7 @@ def work(events: DataFrame, sites: DataFrame, cfg: ScenarioConfig, office: DataF
         return shared(own, sites, "work", "area", cfg.simulation_steps)
     at_office = uniform(F.col("event_id") + cfg.random_seed) < cfg.share_office_parking
     plain = shared(own.where(~at_office), sites, "work", "area", cfg.simulation_steps, "located")
-    n = sites.count()
+    n = _offset(sites)
     lots = office.withColumn("area", F.lit(1.0))
     there = shared(own.where(at_office), lots, "work", "area", cfg.simulation_steps, "located")
     _, street = street_split(events)
@@ -146,7 +153,11 @@ def work(events: DataFrame, sites: DataFrame, cfg: ScenarioConfig, office: DataF
 
 
 def public(events: DataFrame, poi: DataFrame, home_sites: DataFrame, cfg: ScenarioConfig, leftovers: DataFrame | None = None, network: tuple[DataFrame, DataFrame] | None = None) -> Located:
-    """Street events: on a given network by least load, or on public and home-street sites with the 1000 m rebalancing."""
+    """Street events: on a given network by least load, or on public and home-street sites with the 1000 m rebalancing.
+
+    The least loaded site of a network is one choice over all its sites, hence one task, unless both tables of the network have
+    a column region: then each region is a network of its own.
+    """
     if leftovers is not None:
         private_only = set(cfg.multi_use_group) == {"Private", "Commercial"}
         street = leftovers if private_only else leftovers.unionByName(events.where((F.col("charging_use_case") == "street") & (F.col("Type") == "Private")))
@@ -154,8 +165,9 @@ def public(events: DataFrame, poi: DataFrame, home_sites: DataFrame, cfg: Scenar
         street = events.where(F.col("charging_use_case") == "street")
     if network is not None:
         sites, known = network
-        e = known.join(street.select("event_id"), "event_id", "left_semi").withColumn("region", F.lit(0).cast("long"))
-        got = allocators.network_assignment(e, sites.withColumn("region", F.lit(0).cast("long")), "region")
+        whole = lambda d: d if "region" in d.columns else d.withColumn("region", F.lit(0).cast("long"))
+        e = whole(known.join(street.select("event_id"), "event_id", "left_semi"))
+        got = allocators.network_assignment(e, whole(sites), "region")
         top = intervals.peak(got.where("NOT unserved"), ["assigned_location_id"])
         used = sites.drop("charging_points").join(top, sites["location_id"] == top["assigned_location_id"]).withColumnRenamed("peak", "charging_points")
         located = got.withColumn("location_id", F.coalesce("assigned_location_id", "location_id")).join(street.select("event_id", "energy", "station_charging_capacity"), "event_id")
@@ -164,7 +176,7 @@ def public(events: DataFrame, poi: DataFrame, home_sites: DataFrame, cfg: Scenar
     poi = poi.withColumnRenamed("Category_Weight", "weight") if "Category_Weight" in poi.columns else poi
     a = shared(other, poi, "public", "weight", cfg.simulation_steps)
     b = shared(home_events, home_sites, "public", "households_total", cfg.simulation_steps)
-    n = poi.count()
+    n = _offset(poi)
     moved_id = lambda d, c: d.withColumn("location_id", site_id("public", F.col(c) + n))
     sites = a.sites.withColumn("mode", F.lit("street")).unionByName(moved_id(b.sites, "idx").withColumn("mode", F.lit("home_street")), True)
     located = a.events.withColumn("mode", F.lit("street")).unionByName(moved_id(b.events, "assigned_location").withColumn("mode", F.lit("home_street")), True)
@@ -173,8 +185,6 @@ def public(events: DataFrame, poi: DataFrame, home_sites: DataFrame, cfg: Scenar
 
 def street_candidates(located: DataFrame, sites: DataFrame, radius: float = 1000.0) -> DataFrame:
     """(event_id, candidates): street sites at most radius from the home-street site of an event, in order of position."""
-    from chargeplan.operators.spatial import distance_join
-
     place = sites.select("location_id", F.col("x").alias("ex"), F.col("y").alias("ey"))
     e = located.where("mode = 'home_street'").select("event_id", "location_id").join(place, "location_id").drop("location_id")
     street = sites.where("mode = 'street'").select(F.col("location_id").alias("candidate"), "x", "y")
@@ -182,10 +192,19 @@ def street_candidates(located: DataFrame, sites: DataFrame, radius: float = 1000
 
 
 def rebalanced(located: DataFrame, sites: DataFrame, cfg: ScenarioConfig, street: DataFrame) -> Located:
-    """Home-street events move to near idle street points; then every site gets its peak as points and those without go."""
-    zero = lambda d: d.withColumn("region", F.lit(0).cast("long"))
-    got = allocators.street_rebalance(zero(located.select("event_id", "event_start", "event_time", "location_id")), zero(sites.select("location_id", "charging_points")), street_candidates(located, sites), "region", 2 * cfg.simulation_steps)
-    got = got.select("event_id", F.col("location_id").alias("_to"), "moved")
+    """Home-street events move to near idle street points; then every site gets its peak as points and those without go.
+
+    Sites that an event can move between are linked; components of these links are independent of each other and run in
+    parallel. Events elsewhere stay, and no kernel sees them.
+    """
+    candidates = checkpointed(street_candidates(located, sites))
+    links = located.select("event_id", F.col("location_id").alias("a")).join(candidates.select("event_id", F.explode("candidates").alias("b")), "event_id").select("a", "b").distinct()
+    ends = links.select(F.col("a").alias("location_id")).unionAll(links.select("b")).distinct()
+    region = checkpointed(components(ends, links, "location_id").withColumnRenamed("component", "region"))
+    inside = lambda d: d.join(region, "location_id")
+    got = allocators.street_rebalance(inside(located.select("event_id", "event_start", "event_time", "location_id")), inside(sites.select("location_id", "charging_points")), candidates, "region", 2 * cfg.simulation_steps)
+    got = located.select("event_id", F.col("location_id").alias("_from")).join(got.select("event_id", F.col("location_id").alias("_to"), "moved"), "event_id", "left")
+    got = got.select("event_id", F.coalesce("_to", "_from").alias("_to"), F.coalesce("moved", F.lit(False)).alias("moved"))
     out = located.join(got, "event_id").withColumn("location_id", F.col("_to")).withColumn("mode", F.when(F.col("moved"), "street").otherwise(F.col("mode"))).drop("_to", "moved")
     top = intervals.peak(out, ["location_id"]).withColumnRenamed("peak", "charging_points")
     left = sites.drop("charging_points").join(top, "location_id").where("charging_points > 0")
@@ -206,7 +225,7 @@ def run_scenario(cfg: ScenarioConfig, events: DataFrame, sites: dict[str, DataFr
         street = F.col("charging_use_case") == "street"
         limited = intervals.limit_parking(events.where(street), cfg.charging_time_limit_duration, cfg.charging_time_limit_start, cfg.charging_time_limit_end, unit=cfg.limit_unit)
         events = limited.unionByName(events.where(not_in(F.col("charging_use_case"), "street")), allowMissingColumns=True)
-    events = events.persist()
+    events = checkpointed(events) if cfg.charging_time_limit else events  # read by six use cases
     out, leftovers = {}, None
     if "home" in cfg.run:
         out["home_apartment"], out["home_detached"] = home(events, sites["home_apartment"], "apartment", cfg.simulation_steps), home(events, sites["home_detached"], "detached")

@@ -71,6 +71,45 @@ def test_nearest_line_beyond_reach_and_many_lines(spark):
         assert got == {1: (7, 100), 2: (7, 4991)}
 
 
+def test_nearest_line_ends_with_nulls_and_without_lines(spark):
+    points = spark.createDataFrame([(1, 0.0, 0.0), (2, None, 5.0), (None, 1.0, 1.0), (4, float("nan"), 0.0), (5, 9e5, 9e5)], "k int, x double, y double")
+    lines = spark.createDataFrame([(7, [(0.0, 100.0), (10.0, 100.0)])], "l int, line array<struct<x:double,y:double>>")
+    got = {r["k"]: r["l"] for r in spatial.nearest_line(points, lines, "k", "l", "line", 200.0).collect()}
+    assert got == {1: 7, 2: None, None: None, 4: None, 5: 7}
+    assert {r["l"] for r in spatial.nearest_line(points, lines.where("l < 0"), "k", "l", "line", 200.0).collect()} == {None}
+
+
+def test_dense_index_and_running_over_many_ranges(spark):
+    df = spark.range(0, 5000, 7, 11).select((F.col("id") * F.col("id") % 10007).alias("k")).distinct()
+    keys = sorted(r["k"] for r in df.collect())
+    got = {r["k"]: (r["idx"], r["cum"]) for r in relational.running(relational.dense_index(df, "k"), F.lit(2), "k", "cum").collect()}
+    assert got == {k: (i, 2 * i + 2) for i, k in enumerate(keys)}
+    assert relational.dense_index(df.where("k < 0"), "k").count() == 0
+
+
+def test_sites_get_their_ids_whatever_their_numbers(spark):
+    """Filtered sites keep their numbers: a position is never taken for an id."""
+    from chargeplan.operators import allocators
+
+    e = spark.createDataFrame([("a", i, i % 7, 3, 5.0, 11.0) for i in range(40)], "g string, event_id long, event_start int, event_time int, energy double, station_charging_capacity double")
+    s = spark.createDataFrame([("a", 10 * i + 5, 1.0) for i in range(6)], "g string, idx long, weight double")
+    placed, points = allocators.shared_allocation(e, s, "g", 40)
+    known = {r["idx"]: r["points"] for r in points.collect()}
+    assert {r["assigned_location"] for r in placed.collect()} == {i for i, n in known.items() if n} <= {5, 15, 25, 35, 45, 55}
+    more = allocators.multi_use_allocation(e, e.withColumn("event_start", F.col("event_start") + 20), s, "g", 40, 2).collect()
+    assert {r["assigned_location"] for r in more} <= {None, 5, 15, 25, 35, 45, 55} and any(r["assigned_location"] for r in more)
+
+
+def test_projections_of_known_places(spark):
+    from chargeplan.functions import geo
+
+    df = spark.createDataFrame([(10.0, 52.0, 4321000.0, 3210000.0), (5.0, 50.0, 3962799.45, 2999718.85)], "lon double, lat double, x double, y double")
+    for r in df.select("x", "y", geo.to_laea(F.col("lon"), F.col("lat")).alias("p")).collect():
+        assert abs(r["p"]["x"] - r["x"]) < 0.02 and abs(r["p"]["y"] - r["y"]) < 0.02
+    u = spark.range(1).select(geo.to_utm(F.lit(15.0), F.lit(45.0)).alias("a"), geo.to_utm(F.lit(15.0), F.lit(0.0)).alias("b")).first()
+    assert abs(u["a"]["x"] - 500000) < 1e-3 and abs(u["a"]["y"] - 4982950.40) < 0.02 and abs(u["b"]["y"]) < 1e-3
+
+
 def test_dbscan_noise_and_border(spark):
     pts = spark.createDataFrame([(1, 0.0), (2, 1.0), (3, 2.0), (4, 3.0), (9, 50.0)], "k long, x double").withColumn("y", F.lit(0.0))
     got = {r["k"]: r["cluster"] for r in spatial.dbscan(pts, "k", 1.0, 3).collect()}
