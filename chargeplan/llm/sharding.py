@@ -4,7 +4,7 @@ The order along a dimension is total: the value on a 24-bit grid over its range,
 group of equal texts. A weighted median is found exactly in that order by four rounds of 16-bit digit histograms for all nodes
 of a level at once; a round returns one row a node. Equal texts share one point, so a cut parts a group only where the median
 falls into it; a group above 1/128 of a leaf is dealt into chunks that follow each other, so a group that holds a third of all
-bytes fills neighbouring shards instead of overfilling one.
+bytes fills neighbouring shards instead of overfilling one. Nodes are rows of a small table, so plans don't grow with the shards.
 """
 
 from __future__ import annotations
@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 
 from chargeplan.llm.common import cut, gapless_rank
 
-GRID, CHUNK_BITS, DIGITS = 24, 7, (47, 31, 15, 0)
+GRID, CHUNK_BITS, DIGITS = 16, 22, (47, 31, 15, 0)
+#: A group of equal texts with a larger share of all bytes or rows is joined by broadcast; there are at most twice so many.
+HOT = 4096
 
 
 @dataclass
@@ -39,11 +41,9 @@ def _point(dims: list[str], lows: list[float], spans: list[float]) -> Column:
     return F.array(*[F.shiftleft(c.cast("long"), 63 - GRID) + tail for c in cells])
 
 
-def _per_node(node: Column, values: dict[int, int], kind: str) -> Column:
-    out = F.lit(None).cast(kind)
-    for k, v in values.items():
-        out = F.when(node == k, F.lit(v).cast(kind)).otherwise(out)
-    return out
+def _table(rows: DataFrame, values: list[tuple], columns: str) -> DataFrame:
+    """rows with the columns of their node, from one small row a node; rows of other nodes get nulls."""
+    return rows.join(F.broadcast(rows.sparkSession.createDataFrame(values, f"node int, {columns}")), "node", "left")
 
 
 def kd_tree_shards(docs: DataFrame, dims: list[str], shards: int | None = None, target_bytes: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -68,55 +68,55 @@ def kd_tree_shards(docs: DataFrame, dims: list[str], shards: int | None = None,
     meta = cut(meta, "meta")
     rows, total = meta.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
     parts = shards or max(1, -(-total // target_bytes))
-    cap = max(1, total // parts >> CHUNK_BITS)
+    cap = max(1, total // parts >> 7, total >> CHUNK_BITS)
     same = ["thash", "text_crc32", "size"]
-    groups = meta.groupBy(*same).agg(F.sum("size").alias("w"), F.min(F.struct(F.col("doc_id").alias("i"), *names)).alias("p"))
-    meta = meta.drop(*names).join(groups, same).select("doc_id", *same, *[F.col(f"p.{n}").alias(n) for n in names], F.pmod(F.xxhash64("doc_id"), F.greatest(F.lit(1), F.ceil(F.col("w") / cap))).alias("chunk"))
+    groups = cut(meta.groupBy(*same).agg(F.sum("size").alias("w"), F.count(F.lit(1)).alias("c"), F.min(F.struct(F.col("doc_id").alias("i"), *names)).alias("p")).where("c > 1"), "groups")
+    big = (F.col("w") > F.lit(total / HOT)) | (F.col("c") > F.lit(rows / HOT))
+    hot = F.broadcast(groups.where(big))
+    copies = meta.join(hot, same).unionByName(meta.join(hot.select(same), same, "left_anti").join(groups.where(~big), same, "left"))
+    chunks = F.greatest(F.lit(1), F.ceil(F.coalesce("w", F.lit(0)) / cap))
+    meta = copies.select("doc_id", *same, *[F.coalesce(F.col(f"p.{n}"), F.col(n)).alias(n) for n in names], F.pmod(F.xxhash64("doc_id"), chunks).alias("chunk"))
     meta = cut(meta, "points")
     r = meta.agg(*[f(n).alias(f"{f.__name__}{n}") for n in names for f in (F.min, F.max)]).first()
     lows, spans = [r[2 * i] or 0.0 for i in range(len(names))], [((r[2 * i + 1] or 0.0) - (r[2 * i] or 0.0)) or 1.0 for i in range(len(names))]
     meta = meta.withColumn("at", _point(names, lows, spans)).select("doc_id", "size", "text_crc32", "at", *names)
 
-    node, open_nodes, leaves, number_of = F.lit(0), [Node(0, parts, 0)], {}, 1
+    meta, open_nodes, leaves, number_of = meta.withColumn("node", F.lit(0)), [Node(0, parts, 0)], [], 1
     while open_nodes:
-        leaves |= {n.number: n.first for n in open_nodes if n.parts == 1}
+        leaves += [(n.number, n.first) for n in open_nodes if n.parts == 1]
         open_nodes = [n for n in open_nodes if n.parts > 1]
         if not open_nodes:
             break
-        splits = _split(meta.withColumn("node", node).where(F.col("node").isin([n.number for n in open_nodes])), open_nodes, names, spans)
-        fresh = []
+        splits, fresh, table = _split(meta, open_nodes, names, spans), [], []
         for n in open_nodes:
             half, s = n.parts // 2, splits[n.number]
             low, high = Node(number_of, half, n.first), Node(number_of + 1, n.parts - half, n.first + half)
             number_of += 2
             fresh += [low, high]
-            node = F.when(node == n.number, F.when(F.col("at")[s.dim] <= F.lit(s.key), low.number).otherwise(high.number)).otherwise(node)
-        meta = cut(meta.withColumn("node", node), "nodes")
-        node, open_nodes = F.col("node"), fresh
-    placed = meta.withColumn("shard", _per_node(node, leaves, "int")).select("doc_id", "size", "text_crc32", "shard")
+            table.append((n.number, s.dim, s.key, low.number, high.number))
+        side = F.when(F.col("dim").isNull(), F.col("node")).when(F.element_at("at", F.col("dim") + 1) <= F.col("cut"), F.col("low")).otherwise(F.col("high"))
+        meta = cut(_table(meta, table, "dim int, cut long, low int, high int").withColumn("node", side).drop("dim", "cut", "low", "high"), "nodes")
+        open_nodes = fresh
+    placed = _table(meta, leaves, "shard int").select("doc_id", "size", "text_crc32", "shard")
     return gapless_rank(placed, ["shard"], ["doc_id", "text_crc32"], "slot", "doc_id", rows)
 
 
 def _split(rows: DataFrame, nodes: list[Node], names: list[str], spans: list[float]) -> dict[int, Split]:
     """For each node the widest dimension, and the key at which its left parts' share of the bytes is reached."""
+    rows = _table(rows, [(n.number, True) for n in nodes], "open boolean").where("open")
     wide = rows.groupBy("node").agg(F.sum("size").alias("w"), *[((F.max(n) - F.min(n)) / F.lit(s)).alias(n) for n, s in zip(names, spans, strict=True)]).collect()
     dims = {r["node"]: max(range(len(names)), key=lambda i: (r[names[i]], -i)) for r in wide}
     weight = {r["node"]: r["w"] for r in wide}
     want = {n.number: weight.get(n.number, 0) * (n.parts // 2) / n.parts for n in nodes}
     keys, below = {n.number: 0 for n in nodes}, {n.number: 0 for n in nodes}
-    key = F.element_at("at", _per_node(F.col("node"), {k: d + 1 for k, d in dims.items()}, "int"))
-    rows = rows.select("node", "size", key.alias("key"))
+    rows = _table(rows, [(n.number, dims.get(n.number, 0)) for n in nodes], "dim int").select("node", "size", F.element_at("at", F.col("dim") + 1).alias("key"))
     for i, shift in enumerate(DIGITS):
         base = DIGITS[i - 1] if i else 63
-        prefix = _per_node(F.col("node"), {k: v >> base for k, v in keys.items()}, "long")
-        bins = rows.where(F.shiftright("key", base) == prefix) if i else rows
-        bins = bins.groupBy("node", F.shiftright("key", shift).bitwiseAND(F.lit((1 << (base - shift)) - 1)).alias("bin")).agg(F.sum("size").alias("w"))
+        bins = _table(rows, [(k, v >> base, float(want[k] - below[k])) for k, v in keys.items()], "prefix long, need double").where(F.shiftright("key", base) == F.col("prefix"))
+        bins = bins.groupBy("node", "need", F.shiftright("key", shift).bitwiseAND(F.lit((1 << (base - shift)) - 1)).alias("bin")).agg(F.sum("size").alias("w"))
         upto = F.sum("w").over(Window.partitionBy("node").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0))
         last = F.max("bin").over(Window.partitionBy("node"))
-        need = F.lit(0.0)
-        for k in keys:
-            need = F.when(F.col("node") == k, F.lit(float(want[k] - below[k]))).otherwise(need)
-        found = bins.withColumn("upto", upto).withColumn("last", last).where((F.col("upto") >= need) | (F.col("bin") == F.col("last")))
+        found = bins.withColumn("upto", upto).withColumn("last", last).where((F.col("upto") >= F.col("need")) | (F.col("bin") == F.col("last")))
         for r in found.groupBy("node").agg(F.min(F.struct("bin", "upto", "w")).alias("x")).collect():
             keys[r["node"]] |= r["x"]["bin"] << shift
             below[r["node"]] += r["x"]["upto"] - r["x"]["w"]
@@ -124,6 +124,6 @@ def _split(rows: DataFrame, nodes: list[Node], names: list[str], spans: list[flo
 
 
 def write_shards(docs: DataFrame, placed: DataFrame, path: str, id_col: str = "doc_id") -> None:
-    """Whole rows of docs (ids unique) as Parquet, a folder for each shard."""
-    at = placed.select(F.col("doc_id").alias(id_col), "shard")
-    docs.join(at, id_col).repartition("shard").write.partitionBy("shard").parquet(path)
+    """Whole rows of docs (ids unique, one may be null) as Parquet, a folder for each shard; a column shard of docs is replaced."""
+    at = placed.select(F.col("doc_id").alias("_id"), "shard")
+    docs.drop("shard").join(at, F.col(id_col).eqNullSafe(F.col("_id"))).drop("_id").repartition("shard").write.partitionBy("shard").parquet(path)

@@ -41,6 +41,30 @@ def test_sharding(spark, docs, none):
     assert sized.select("shard").distinct().count() >= 1
 
 
+def test_many_shards_and_a_third_in_one_text(spark):
+    """300 shards, a third of all bytes in copies of one text and a third of all rows without text: bytes stay near equal."""
+    from chargeplan.llm.sharding import kd_tree_shards
+
+    i = F.col("id")
+    df = spark.range(12_000).select(i.alias("doc_id"), F.when(i % 3 == 0, F.repeat(F.lit("h"), 40)).when(i % 3 == 1, F.repeat(F.md5(i.cast("string")), 2)).alias("text"), (i % 5).cast("string").alias("source"))
+    rows = kd_tree_shards(df, ["source", "doc_id"], shards=300).collect()
+    size, count = np.zeros(300), np.zeros(300, int)
+    for r in rows:
+        size[r["shard"]] += r["size"]
+        count[r["shard"]] += 1
+    assert len(rows) == 12_000 and abs(size - size.sum() / 300).max() < 130 and sorted({(r["shard"], r["slot"]) for r in rows}) == [(s, k) for s in range(300) for k in range(count[s])]
+
+
+def test_write_shards_keeps_every_row(spark, docs, tmp_path):
+    from chargeplan.llm.sharding import kd_tree_shards, write_shards
+
+    own = docs.dropDuplicates(["doc_id"])
+    placed = kd_tree_shards(own, ["n_chars"], shards=3).cache()
+    write_shards(own, placed, str(tmp_path / "s"))
+    back = spark.read.parquet(str(tmp_path / "s"))
+    assert sorted(map(str, back.select("doc_id", "text").collect())) == sorted(map(str, own.select("doc_id", "text").collect())) and {(r["doc_id"], r["shard"]) for r in back.collect()} == {(r["doc_id"], r["shard"]) for r in placed.collect()}
+
+
 def test_packing(docs, none):
     import public_tokenizers
     from tokenizers import Tokenizer
