@@ -29,6 +29,30 @@ def wide_activity(events: DataFrame, by: str, values: list[str], first: int, las
     return grid.join(counts, "step", "left").na.fill(0, values)
 
 
+def occupation(events: DataFrame, by: str, values: list[str], start: str = START, time: str = TIME) -> DataFrame:
+    """Active events a value from the first start to the last end, in steps numbered from 1 (Zeitschritt); starts and ends are rounded."""
+    a, b = F.bround(start, 0).cast("int"), F.bround(F.col(start) + F.col(time), 0).cast("int")
+    e = events.select(by, a.alias(start), (b - a).alias(time))
+    ends = events.agg(F.floor(F.min(start)).cast("int").alias("a"), F.max(F.col(start) + F.col(time)).cast("int").alias("b")).first()
+    first, last = (0, -1) if ends["a"] is None else (ends["a"], ends["b"] - 1)
+    return wide_activity(e, by, values, first, last, start, time).select(*values, (F.col("step") - first + 1).alias("Zeitschritt"))
+
+
+def timestamp_activity(events: DataFrame, by: str, start: str, minutes: str, every: int = 15) -> DataFrame:
+    """(by, zeitschritt, anzahl_aktiver_ladeevents): for each value of by and each instant of the grid that spans all events.
+
+    An event is active at t if start <= t < start + minutes. The grid runs from the first start, floored, to the last end, raised.
+    """
+    step = every * 60_000_000
+    e = events.select(by, F.unix_micros(F.col(start).cast("timestamp")).alias("s"), F.col(minutes).alias("m")).withColumn("e", F.col("s") + F.col("m") * 60_000_000)
+    ends = e.agg(F.min("s").alias("a"), F.max("e").alias("b"))
+    grid = ends.where("a IS NOT NULL").select(F.explode(F.sequence(F.expr(f"a div {step}"), F.expr(f"(b + {step - 1}) div {step}"))).alias("q"))
+    every_one = grid.crossJoin(F.broadcast(events.select(by).distinct()))  # the values of by are few, the grid is the result
+    first, last = F.expr(f"(s + {step - 1}) div {step}"), F.expr(f"(e + {step - 1}) div {step} - 1")
+    counts = e.where(first <= last).select(by, F.explode(F.sequence(first, last)).alias("q")).groupBy(by, "q").agg(F.count(F.lit(1)).alias("n"))
+    return every_one.join(counts, [by, "q"], "left").select(by, F.timestamp_micros(F.col("q") * step).cast("timestamp_ntz").alias("zeitschritt"), F.coalesce("n", F.lit(0)).alias("anzahl_aktiver_ladeevents"))
+
+
 def peak(events: DataFrame, by: list[str], start: str = START, time: str = TIME) -> DataFrame:
     """(by, peak): most events active at once, by a sweep over starts and ends instead of steps."""
     some = events.where(F.col(time) > 0)

@@ -10,10 +10,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from chargeplan.config import ScenarioConfig
-from chargeplan.functions import scalars as S
 from chargeplan.operators import allocators, intervals, relational
-from chargeplan.plans import usecases
-from chargeplan.plans.basic_queries import PPC_USE_CASE
+from chargeplan.plans import assembly, usecases
 from chargeplan.plans.registry import query
 from chargeplan.sources import fixtures as X
 from chargeplan.sources.fixtures import with_sql
@@ -223,13 +221,7 @@ def decompose_counts(spark, d):
 @query()
 def decomposed_events(spark, d):
     """The decomposed events in quarter-hour steps with use case, mean power and capacity."""
-    look = F.create_map(*[F.lit(x) for kv in PPC_USE_CASE.items() for x in kv])
-    e = allocators.decomposition(_hour_counts(spark, d), PPC_MEANS)
-    end, stop = F.col("start_hour") + F.col("charge_hours"), F.col("start_hour") + F.col("stay_hours")
-    return e.select(
-        S.hours_to_steps(F.col("start_hour"), -3).alias("event_start"), S.hours_to_steps(F.col("stay_hours")).alias("event_time"), S.hours_to_steps(end, -3).alias("charge_end"), S.hours_to_steps(stop, -3).alias("event_end_parking"),
-        "ppc_id", F.lit(allocators.CAPACITY_KW).alias("station_charging_capacity"), "energy", S.average_power(F.col("energy"), F.lit(0), F.col("stay_hours")).alias("average_charging_power"), F.try_element_at(look, F.col("ppc_id")).alias("use_case"),
-    )
+    return assembly.decomposed_steps(_hour_counts(spark, d), PPC_MEANS)
 
 
 @query(recursive("lot", """, p AS (SELECT idx % 8 AS g, list(struct_pack(x := x, y := y, w := cast(weight AS double)) ORDER BY idx) AS pts FROM lot GROUP BY 1),

@@ -191,6 +191,19 @@ def activity_timeline_wide(spark, d):
     return intervals.wide_activity(e, "charging_use_case", USES, 0, max(3000, intervals.last_step(e)))
 
 
+@query(with_sql("ev", _STEPS + "SELECT " + ", ".join(f"count(*) FILTER (charging_use_case = '{u}') AS {u}" for u in USES) + ", g.step - (SELECT min(event_start) FROM ev) + 1 AS \"Zeitschritt\" FROM (SELECT unnest(range((SELECT min(event_start) FROM ev), (SELECT max(event_start + event_time) FROM ev))) AS step) g LEFT JOIN st USING (step) GROUP BY g.step"))
+def occupation_timeline(spark, d):
+    return intervals.occupation(X.events(spark, d), "charging_use_case", USES)
+
+
+@query("""WITH e AS (SELECT event_type, epoch_us(ts) AS s, epoch_us(ts) + (1 + (event_id * 7919) % 48) * 60000000 AS e FROM events), g AS (SELECT unnest(range(min(s) // 900000000, (max(e) + 899999999) // 900000000 + 1)) AS q FROM e),
+ c AS (SELECT event_type, q, count(*) AS n FROM (SELECT event_type, unnest(range((s + 899999999) // 900000000, (e + 899999999) // 900000000)) AS q FROM e) v GROUP BY ALL)
+ SELECT t.event_type, make_timestamp(g.q * 900000000) AS zeitschritt, coalesce(n, 0) AS anzahl_aktiver_ladeevents FROM g CROSS JOIN (SELECT DISTINCT event_type FROM events) t LEFT JOIN c ON c.q = g.q AND c.event_type = t.event_type""")
+def timestamp_timeline(spark, d):
+    e = X.table(spark, d, "events").select("event_type", "ts", (1 + (F.col("event_id") * 7919) % 48).alias("minutes"))
+    return intervals.timestamp_activity(e, "event_type", "ts", "minutes")
+
+
 @query(with_sql("ev", """, dl AS (SELECT location_id, t, sum(dd) AS dd FROM (SELECT event_id % 97 AS location_id, event_start AS t, 1 AS dd FROM ev UNION ALL SELECT event_id % 97, event_start + event_time, -1 FROM ev) x GROUP BY ALL),
  lv AS (SELECT location_id, sum(dd) OVER (PARTITION BY location_id ORDER BY t) AS level FROM dl) SELECT location_id, cast(max(level) AS bigint) AS peak FROM lv GROUP BY location_id"""))
 def peak_concurrency(spark, d):

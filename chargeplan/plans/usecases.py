@@ -30,7 +30,7 @@ def unify(private: DataFrame, commercial: DataFrame, order: str) -> DataFrame:
     commercial = commercial.withColumn("Type", F.lit("Commercial")).withColumn("charging_use_case", street_name(F.col("charging_use_case")))
     private = private.withColumn("charging_use_case", street_name(F.col("charging_use_case")))
     both = commercial.withColumn("_src", F.lit(0)).unionByName(private.withColumn("_src", F.lit(1)), allowMissingColumns=True).where(F.col("event_start") <= WEEK_STEPS)
-    keyed = both.withColumn("_key", F.col("_src") * F.lit(1 << 50) + F.col(order)).drop("event_id")
+    keyed = both.withColumn("_key", F.struct("_src", order)).drop("event_id")
     return dense_index(keyed, "_key", "event_id", first=1).drop("_key", "_src")
 
 
@@ -238,7 +238,8 @@ def run_scenario(cfg: ScenarioConfig, events: DataFrame, sites: dict[str, DataFr
         out["retail"] = retail(events, sites["retail"], cfg)
         leftovers = out["retail"].leftovers if out["retail"].leftovers is not None else leftovers
     if "public" in cfg.run:
-        out["public"] = public(events, sites["public"], sites["home_street"], cfg, leftovers)
+        network = (sites["network_sites"], sites["network_events"]) if cfg.additional_input_public_locations else None
+        out["public"] = public(events, sites["public"], sites["home_street"], cfg, leftovers, network)
     if "depot" in cfg.run:
         out["depot"] = depot(events, sites["depot"], cfg.simulation_steps)
     return out

@@ -193,7 +193,7 @@ def read_gpkg(spark: SparkSession, path: str, **options) -> DataFrame:
 def write_gpkg(df: DataFrame, path: str, layer: str, geometry: str = "geometry", srs: int = 3035) -> None:
     """One file, rows streamed to the driver partition by partition: SQLite has one writer. For exports of bounded results."""
     kinds = {"bigint": "INTEGER", "int": "INTEGER", "double": "REAL", "float": "REAL", "boolean": "BOOLEAN", "binary": "BLOB"}
-    plain = [(n, kinds.get(k, "TEXT")) for n, k in df.dtypes if n != geometry]
+    plain = [(n, kinds.get(k, "TEXT")) for n, k in df.dtypes if n != geometry and n.lower() != "fid"]  # rows are numbered anew
     if os.path.exists(path):
         os.remove(path)
     with sqlite3.connect(path) as db:
