@@ -9,7 +9,7 @@ at most, so they share no window.
    settled by counting.
 2. Keys with several different contexts, at most ``most``, meet in a shard of bounded size, each context once. The shard's
    suffix array is built by induced sorting (suffixes classified, leftmost-smaller substrings sorted and named, the reduced
-   string sorted, all others induced from them, bucket by bucket), and a window repeats where the permuted longest common
+   string sorted by ranks of doubling prefixes, all others induced from them, bucket by bucket), and a window repeats where the permuted longest common
    prefix with a neighbour reaches ``span``.
 3. Keys with more contexts (a passage in very many documents) are parted: windows are grouped by their place relative to the
    key's k-gram, in blocks, and by the bytes that all windows of a block share; blocks shrink from level to level, and at one
@@ -104,19 +104,32 @@ def _push_s(sa, s, kind, batch, tail) -> None:
         tail[chars] -= count
 
 
+def _radix(order: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """order, stably sorted by value[order], 16 bits a pass."""
+    for shift in range(0, max(1, int(value.max()).bit_length()), 16):
+        order = order[np.argsort((value[order] >> shift).astype(np.uint16), kind="stable")]
+    return order
+
+
 def _sort_reduced(names: np.ndarray) -> np.ndarray:
     """Order of the suffixes of the reduced string: ranks of prefixes of 1, 2, 4, ... names until all differ."""
-    rank, n, step = names.astype(np.int64), len(names), 1
+    rank, n, step = names.astype(np.int32), len(names), 1
+    order = _radix(np.arange(n, dtype=np.int32), rank)
     while True:
-        after = np.zeros(n, np.int64)
+        after = np.zeros(n, np.int32)
         after[:-step or None] = rank[step:] + 1 if step < n else 0
-        key = rank * (n + 2) + after
-        order = np.argsort(key, kind="stable")
-        new = np.concatenate(([0], np.cumsum(key[order][1:] != key[order][:-1])))
-        rank = np.empty(n, np.int64)
+        # sorted by rank already: only those that share theirs move, and they stay in their ranks' places
+        r = rank[order]
+        edge = np.concatenate(([True], r[1:] != r[:-1], [True]))
+        tied = np.flatnonzero(~(edge[:-1] & edge[1:]))
+        mine = _radix(_radix(order[tied], after), rank)
+        order[tied] = mine
+        r, a = rank[order], after[order]
+        new = np.concatenate(([0], np.cumsum((r[1:] != r[:-1]) | (a[1:] != a[:-1])))).astype(np.int32)
+        rank = np.empty(n, np.int32)
         rank[order] = new
         if new[-1] == n - 1:
-            return order
+            return order.astype(np.int64)
         step *= 2
 
 
