@@ -20,11 +20,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share: spark.checkpoint.dir; a local one only where it is unset."""
+    """The folder that the driver and all executors share: spark.checkpoint.dir; only a local session may do without it."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
         where = spark.conf.get("chargeplan.scratch.dir", None)
         if not where:
+            if not spark.sparkContext.master.startswith("local["):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
             where = tempfile.mkdtemp(prefix="chargeplan-")
             spark.conf.set("chargeplan.scratch.dir", where)
     return where.rstrip("/")

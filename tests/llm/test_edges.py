@@ -120,6 +120,32 @@ def test_language(spark, docs, none):
     assert {r["lang_pred"] for r in identify_language(docs.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
 
 
+def test_language_learns_nothing_from_held_out_rows(spark):
+    """Other held-out texts, and rows without a language, change no prediction of the rest."""
+    from chargeplan.llm.language import identify_language
+
+    rng = np.random.default_rng(8)
+    made = [(i, words(rng, "abcdefg" if i % 2 else "efghijk", 12), "aa" if i % 2 else "zz", "s") for i in range(400)]
+    held = lambda i: zlib.crc32(str(i).encode()) % 5 == 0
+    other = [(i, words(rng, "qrstxyz", 30), "zz", "s") if held(i) else r for i, r in enumerate(made)] + [(10_000 + i, words(rng, "mnopq", 50), None, "s") for i in range(100)]
+    run = lambda rows: {r["doc_id"]: (r["lang_pred"], r["score"]) for r in identify_language(spark.createDataFrame(rows, SCHEMA)).collect()}
+    a, b = run(made), run(other)
+    assert all(a[i] == b[i] for i in range(400) if not held(i)) and sum(a[i] != b[i] for i in range(400)) > 20
+
+
+def test_sums_of_arrays_over_many_partitions(spark):
+    from chargeplan.llm.common import SLICES, array_slices, once, sum_arrays
+
+    def run(batches):
+        for _ in batches:
+            pass
+        yield from array_slices(np.arange(1000, dtype=np.float32), 7)
+
+    got = sum_arrays(spark.range(0, 50, 1, 50).mapInArrow(run, SLICES), 1000, 7, np.float32, fan=4)
+    assert (got == 50 * np.arange(1000)).all()
+    assert sorted(once(np.zeros(9, np.int64), np.array([3, 1, 3, 8, 1, 3])).tolist()) == [1, 3, 8]
+
+
 def test_quality(spark, docs, none):
     from chargeplan.llm.quality import score_quality
 
