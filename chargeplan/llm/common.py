@@ -43,8 +43,24 @@ def cut(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release() -> None:
+    """Give freed memory back to the system: Python workers live on from stage to stage, and several share an executor's limit."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
 def map_arrow(df: DataFrame, fn: Callable[[Iterator], Iterator], schema: str) -> DataFrame:
-    return df.mapInArrow(fn, schema)
+    def run(batches):
+        yield from fn(batches)
+        release()
+
+    return df.mapInArrow(run, schema)
 
 
 def array_slices(total: np.ndarray, slices: int) -> Iterator:

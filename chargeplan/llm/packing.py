@@ -64,6 +64,10 @@ class ChunkTokens:
         self.letters, self.model = _byte_letters(), self.t.model
         self._empty()
 
+    def forget(self) -> None:
+        """What a partition has learnt goes with it, so that an idle worker holds the vocabulary only."""
+        self._empty()
+
     def _empty(self) -> None:
         self.known, self.first, self.last = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.ids, self.n = np.zeros(1 << 16, np.uint32), 0
@@ -118,7 +122,7 @@ _of_process: dict[str, ChunkTokens] = {}
 
 
 def chunk_tokens(path: str) -> ChunkTokens:
-    """One table for each worker process, kept from task to task."""
+    """One tokenizer for each worker process, kept from task to task."""
     if path not in _of_process:
         _of_process[path] = ChunkTokens(path)
     return _of_process[path]
@@ -152,6 +156,7 @@ def _pieces(path: str, size: int, end_id: int):
                         for col, v in zip(out, (doc, start, len(piece), zlib.crc32(piece), len(ids)), strict=True):
                             col.append(v)
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], ["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+        table.forget()
 
     return run
 

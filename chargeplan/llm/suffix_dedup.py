@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chargeplan.llm.common import U64, ByteHash, cut, keep_ids, map_arrow, mix
+from chargeplan.llm.common import U64, ByteHash, cut, keep_ids, map_arrow, mix, release
 
 GRAM = 40
 LEVELS = (128, 32, 8, 1)
@@ -338,6 +338,7 @@ def _shard(span: int):
             for a, b in zip(edge[0::2].tolist(), edge[1::2].tolist(), strict=True):
                 for col, v in zip(out, (k, c, a, b - a), strict=True):
                     col.append(v)
+        release()
         return pa.table([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int32()), pa.array(out[3], pa.int32())], names=["key", "ctx", "at", "windows"])
 
     return run
