@@ -1,7 +1,7 @@
 """Benchmark decontamination by latent semantic retrieval, longest common subsequences and answer words.
 
 One pass over all documents counts document frequencies of hashed words and sketches the term matrix of passages: every
-passage of 32 words (the widest window) is added with a random sign to one of 64 rows (a count sketch, fixed size, summed over partitions).
+passage of 32 words (the widest window) is added with a random sign to one of 32 rows (a count sketch, fixed size, summed over partitions).
 Scaling columns by IDF afterwards and taking the singular value decomposition of the sketch with the benchmark items beneath
 it gives the latent basis: a randomised SVD of the TF-IDF passages. A second pass projects windows of every document by running
 sums, and windows whose latent cosine with an item reaches ``cosine`` are candidates. In the same task candidates are checked
@@ -18,9 +18,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chargeplan.llm.common import SLICES, U64, ByteHash, array_slices, as_bytes, map_arrow, mix, once, sum_arrays, word_hashes
+from chargeplan.llm.common import SLICES, U64, ByteHash, array_slices, as_bytes, map_arrow, mix, once, release, sum_arrays, word_hashes
 
-BITS, ROWS, ITEM_ROWS = 16, 64, 128
+BITS, ROWS, ITEM_ROWS = 16, 32, 64
 SIZE = 1 << BITS
 
 
@@ -179,4 +179,5 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     rows = sorted(rows, key=lambda r: (r["item_id"] is None, r["item_id"], r["text"] or ""))
     items = Items([r["item_id"] for r in rows], [r["text"] for r in rows], [r["answer"] for r in rows], idf, total[: ROWS * SIZE].reshape(ROWS, SIZE), rank)
     del total
+    release()
     return map_arrow(docs, _hits(items, windows, stride, cosine, share), "doc_id long, item_id long, common int, item_words int, coverage double, near_word long")
