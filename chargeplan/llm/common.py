@@ -55,7 +55,16 @@ def release() -> None:
         trim(0)
 
 
+BATCH = "8m"
+
+
 def map_arrow(df: DataFrame, fn: Callable[[Iterator], Iterator], schema: str) -> DataFrame:
+    """mapInArrow in batches of a bounded size: rows are whole texts, and ten thousand of them, the default, are no bound.
+
+    Sets spark.sql.execution.arrow.maxBytesPerBatch of the session.
+    """
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH)
+
     def run(batches):
         yield from fn(batches)
         release()
