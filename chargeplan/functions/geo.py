@@ -68,14 +68,21 @@ def ring_centroid(ring: Column) -> Column:
     return point(ox + cx / (3 * area), oy + cy / (3 * area))
 
 
+def on_ring(px: Column, py: Column, ring: Column) -> Column:
+    """On one of the edges, ends included."""
+    between = lambda v, a, b: (v >= F.least(a, b)) & (v <= F.greatest(a, b))
+    touches = lambda a, b: between(px, a["x"], b["x"]) & between(py, a["y"], b["y"]) & ((b["x"] - a["x"]) * (py - a["y"]) == (b["y"] - a["y"]) * (px - a["x"]))
+    return F.exists(_edges(ring, touches), lambda v: v)
+
+
 def in_ring(px: Column, py: Column, ring: Column) -> Column:
-    """Ray casting: an odd number of edges crosses the ray to the right."""
+    """Ray casting: an odd number of edges crosses the ray to the right. A point on an edge is not inside."""
     crosses = lambda a, b: ((a["y"] > py) != (b["y"] > py)) & (px < (b["x"] - a["x"]) * (py - a["y"]) / (b["y"] - a["y"]) + a["x"])
-    return F.size(F.filter(_edges(ring, crosses), lambda v: v)) % 2 == 1
+    return (F.size(F.filter(_edges(ring, crosses), lambda v: v)) % 2 == 1) & ~on_ring(px, py, ring)
 
 
 def in_polygon(px: Column, py: Column, polygon: Column) -> Column:
-    """In an odd number of rings: inside the shell and outside the holes."""
+    """In an odd number of rings: inside the shell and not inside a hole, whose edge still counts."""
     return F.size(F.filter(polygon, lambda r: in_ring(px, py, r))) % 2 == 1
 
 
