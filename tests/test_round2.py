@@ -32,3 +32,11 @@ def test_points_in_polygon_on_an_edge(spark, tmp_path):
     spark.range(458850, 458890).select(F.col("id").alias("p_partkey"), F.lit(1).alias("p_size")).write.parquet(f"{tmp_path}/part.parquet")
     got, want = twin(spark, tmp_path, "points_in_polygon", "nation", "part")
     assert got == want and "(458857, 2)" not in got
+
+
+def test_projections_by_the_series_of_the_sql(spark, tmp_path):
+    """Stations whose tens of metres hang on millimetres of the series, and one (9699) at a negative zero."""
+    ids = [9699, 13506, 15315, 20972, 21949, 27036, 28166]
+    spark.createDataFrame([(i,) for i in ids], "s_suppkey long").write.parquet(f"{tmp_path}/supplier.parquet")
+    got, want = twin(spark, tmp_path, "projections", "supplier")
+    assert got == want
