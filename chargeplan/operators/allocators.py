@@ -6,6 +6,7 @@ The order within a group decides results, so each kernel sorts by an explicit ke
 
 from __future__ import annotations
 
+import bisect
 import heapq
 from collections import defaultdict
 
@@ -18,35 +19,118 @@ from chargeplan.functions.scalars import uniform
 from chargeplan.operators.relational import checkpointed
 
 
+_ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
+
+
 class Occupancy:
-    """Rows of occupied points per step for sites in order of position, grown as sites open."""
+    """Occupied points per step of opened sites, a row each in the order of opening.
+
+    For the search, sites stand in order of position in blocks of at most 63, and a word of bits tells for each block and step
+    which of its sites are full (unused bits are set). So a window costs one OR over its steps, 64 sites at a time.
+    """
 
     def __init__(self, steps: int):
         self.steps, self.sites = steps, []
         self.mask, self.points = np.zeros((16, steps), np.int16), np.zeros(16, np.int64)
+        self._row: dict[int, int] = {}
+        self._word: dict[int, int] = {}  # of a site
+        self._blocks: list[list[int]] = [[]]  # sites of a word
+        self._order, self._firsts = np.zeros(1, np.int64), [-1]  # words in order of position, and their least positions
+        self._full = np.full((steps, 4), _ALL, np.uint64)
+        self._single = np.zeros(4, np.uint64)  # bits of the sites with one point
 
     def row(self, site: int) -> int:
-        """Row of a site, opened if needed; rows stay in order of position."""
-        at = int(np.searchsorted(self.sites, site))
-        if at == len(self.sites) or self.sites[at] != site:
-            if len(self.sites) == len(self.mask):
+        """Row of a site, opened if needed."""
+        row = self._row.get(site)
+        if row is None:
+            row = self._row[site] = len(self.sites)
+            if row == len(self.mask):
                 self.mask = np.concatenate((self.mask, np.zeros_like(self.mask)))
                 self.points = np.concatenate((self.points, np.zeros_like(self.points)))
-            n = len(self.sites)
-            self.mask[at + 1 : n + 1], self.points[at + 1 : n + 1] = self.mask[at:n].copy(), self.points[at:n].copy()
-            self.mask[at], self.points[at] = 0, 0
-            self.sites.insert(at, site)
-        return at
+            self.sites.append(site)
+            self._insert(site)
+        return row
+
+    def _insert(self, site: int) -> None:
+        k = max(0, bisect.bisect_right(self._firsts, site) - 1)
+        w = self._word[site] = int(self._order[k])
+        block = self._blocks[w]
+        at = bisect.bisect_left(block, site)
+        block.insert(at, site)
+        column, low = self._full[:, w], np.uint64((1 << at) - 1)
+        column = (column & low) | ((column & ~low) << np.uint64(1)) | np.uint64(1 << at)
+        single = self._single[w]
+        self._single[w] = single = (single & low) | ((single & ~low) << np.uint64(1))
+        if len(block) < 64:
+            self._full[:, w] = column
+            return
+        new = len(self._blocks)
+        if new == self._full.shape[1]:
+            self._full = np.concatenate((self._full, np.full_like(self._full, _ALL)), axis=1)
+            self._single = np.concatenate((self._single, np.zeros_like(self._single)))
+        half, upper = np.uint64(32), np.uint64(0xFFFFFFFF00000000)
+        self._full[:, w], self._full[:, new] = column | upper, (column >> half) | upper
+        self._single[w], self._single[new] = single & ~upper, single >> half
+        self._blocks[w], right = block[:32], block[32:]
+        self._blocks.append(right)
+        self._word.update(dict.fromkeys(right, new))
+        self._order = np.insert(self._order, k + 1, new)
+        self._firsts.insert(k + 1, right[0])
+
+    def refresh(self, row: int, start: int = 0, end: int | None = None) -> None:
+        """Read the bits of a row anew, after its points or its steps were changed."""
+        end, site = self.steps if end is None else end, self.sites[row]
+        w = self._word[site]
+        bit = np.uint64(1 << bisect.bisect_left(self._blocks[w], site))
+        column = self._full[start:end, w]
+        self._single[w] = self._single[w] | bit if self.points[row] == 1 else self._single[w] & ~bit
+        self._full[start:end, w] = np.where(self.mask[row, start:end] >= self.points[row], column | bit, column & ~bit)
+
+    def add_point(self, row: int) -> None:
+        self.points[row] += 1
+        if self.points[row] > np.iinfo(self.mask.dtype).max:
+            self.mask = self.mask.astype(np.int32)
+        self.refresh(row)
+
+    def occupy(self, row: int, start: int, end: int) -> None:
+        """One more event at a row that has room over [start, end)."""
+        window = self.mask[row, start:end]
+        window += 1
+        site = self.sites[row]
+        w = self._word[site]
+        bit = np.uint64(1 << bisect.bisect_left(self._blocks[w], site))
+        n = self.points[row]
+        self._full[start:end, w] |= bit if n == 1 else (window >= n) * bit
 
     def first_free(self, start: int, end: int, summed: bool = False) -> int | None:
-        """Row of the lowest position with a free point over [start, end)."""
-        n = len(self.sites)
-        if not n:
+        """Row of the lowest position with a free point over [start, end). summed: the window's sum has to be below the points."""
+        full = np.bitwise_or.reduce(self._full[start:end, : len(self._blocks)], axis=0)[self._order]
+        some = full != _ALL
+        k = int(some.argmax())
+        if not some[k]:
             return None
-        window = self.mask[:n, start:end]
-        used = window.sum(1, dtype=np.int64) if summed else window.max(1)
-        free = np.flatnonzero(used < self.points[:n])
-        return int(free[0]) if len(free) else None
+        if not summed:
+            v = ~int(full[k]) & int(_ALL)
+            return self._row[self._blocks[int(self._order[k])][(v & -v).bit_length() - 1]]
+        one = ~full & self._single[self._order]
+        k = int((one != 0).argmax())  # with a single point, not full is empty; sites of more points before the first such are summed
+        lone = None
+        if one[k]:
+            v = int(one[k])
+            lone = self._blocks[int(self._order[k])][(v & -v).bit_length() - 1]
+        end_of = k + 1 if lone is not None else len(full)
+        more, rows = ~full[:end_of] & ~self._single[self._order[:end_of]], []
+        for k in np.flatnonzero(more).tolist():
+            block, v = self._blocks[int(self._order[k])], int(more[k])
+            while v:
+                rows.append(self._row[block[(v & -v).bit_length() - 1]])
+                v &= v - 1
+        if rows:
+            room = self.mask[rows, start:end].sum(1, dtype=np.int64) < self.points[rows]
+            first = int(room.argmax())
+            if room[first] and (lone is None or self.sites[rows[first]] < lone):
+                return rows[first]
+        return None if lone is None else self._row[lone]
 
 
 def _check(start: int, end: int, steps: int) -> None:
@@ -66,17 +150,17 @@ def allocate_shared(events: pd.DataFrame, weights: np.ndarray, steps: int, share
     draws = events["u"].to_numpy(float) if "u" in events.columns else None
     occupied, mean = Occupancy(steps), {}
     placed = np.empty(len(events), np.int64)
-    for i, (start, time, capacity) in enumerate(zip(events["event_start"], events["event_time"], events["station_charging_capacity"], strict=True)):
+    for i, (start, time, capacity) in enumerate(zip(*(events[c].tolist() for c in ("event_start", "event_time", "station_charging_capacity")), strict=True)):
         start, end = int(start), min(int(start) + int(time), steps)
         _check(start, end, steps)
-        row = occupied.first_free(start, end) if share else None
+        row = occupied.first_free(start, end) if share and occupied.sites else None
         if row is None:
             site = int(np.searchsorted(cdf, rng.random() if draws is None else draws[i], "right"))
             row = occupied.row(site)
             n = occupied.points[row]
             mean[site] = (mean.get(site, 0.0) * n + capacity) / (n + 1)
-            occupied.points[row] += 1
-        occupied.mask[row, start:end] += 1
+            occupied.add_point(row)
+        occupied.occupy(row, start, end)
         placed[i] = occupied.sites[row]
     points, capacity = np.zeros(len(weights), np.int64), np.zeros(len(weights), np.int64)
     for row, site in enumerate(occupied.sites):
@@ -93,18 +177,26 @@ def place_on_existing(events: pd.DataFrame, occupied: Occupancy, shift: int = 0,
     out = events.copy()
     assigned = pd.array([None] * len(out), dtype="Int64")
     starts, times = out["event_start"].to_numpy().copy(), out["event_time"].to_numpy().copy()
-    for i in range(len(out)):
-        need = out["energy"].iloc[i] / out["station_charging_capacity"].iloc[i] * 4 if out["station_charging_capacity"].iloc[i] else 0.0
+    for row in range(len(occupied.sites)):
+        occupied.refresh(row)
+    for i, (energy, capacity) in enumerate(zip(out["energy"].tolist(), out["station_charging_capacity"].tolist(), strict=True)):
+        need = energy / capacity * 4 if capacity else 0.0
         base, begin = int(times[i]), int(starts[i])
+        tries = []
         for s in range(shift + 1):
             start, time = begin + s, base - s
             if time < need:
                 time = min(int(np.ceil(need)), base)
-            if time <= 0 or start + time > occupied.steps:
+            if time > 0 and start + time <= occupied.steps:
+                tries.append((start, time))
+        if len(tries) > 1:  # a point that is taken in what all windows share is taken in each of them
+            a, b = max(s for s, _ in tries), min(s + t for s, t in tries)
+            if a < b and occupied.first_free(a, b, summed) is None:
                 continue
+        for start, time in tries:
             row = occupied.first_free(start, start + time, summed)
             if row is not None:
-                occupied.mask[row, start : start + time] += 1
+                occupied.occupy(row, start, start + time)
                 assigned[i], starts[i], times[i] = occupied.sites[row] + offset, start, time
                 break
     out["event_start"], out["event_time"], out["assigned_location"] = starts, times, assigned

@@ -1,9 +1,12 @@
 """What the review of round 2 found, each by a small case that failed before."""
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from __spark_entry__ import oracle_sql, queries
 from chargeplan.functions import geo
+from chargeplan.operators import allocators
 
 
 def twin(spark, d, name, *tables):
@@ -40,3 +43,18 @@ def test_projections_by_the_series_of_the_sql(spark, tmp_path):
     spark.createDataFrame([(i,) for i in ids], "s_suppkey long").write.parquet(f"{tmp_path}/supplier.parquet")
     got, want = twin(spark, tmp_path, "projections", "supplier")
     assert got == want
+
+
+def test_opened_sites_are_searched_by_words():
+    """With many sites open, no search looks at every site's steps, and rows don't move when a site opens below others."""
+    rng, n = np.random.default_rng(3), 3000
+    e = pd.DataFrame({"event_id": np.arange(n), "event_start": rng.integers(0, 20, n), "event_time": rng.integers(1, 20, n), "station_charging_capacity": 11.0, "energy": 5.0, "u": rng.random(n)})
+    placed, points, _, occupied = allocators.allocate_shared(e, rng.integers(1, 9, 700).astype(float), 40)
+    mask, free = np.zeros((700, 40), int), np.zeros(700, int)
+    for i, (s, t, u) in enumerate(zip(e["event_start"], e["event_time"], e["u"], strict=True)):
+        room = np.flatnonzero(mask[:, s : s + t].max(1) < free)
+        free[placed[i]] += 0 if len(room) else 1
+        assert not len(room) or room[0] == placed[i]
+        mask[placed[i], s : s + t] += 1
+    assert (free == points).all() and len(occupied.sites) > 500
+    assert occupied.sites != sorted(occupied.sites)  # in the order of opening
