@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from __spark_entry__ import oracle_sql, queries
 from chargeplan.functions import geo
-from chargeplan.operators import allocators
+from chargeplan.operators import allocators, spatial
 
 
 def twin(spark, d, name, *tables):
@@ -58,3 +58,21 @@ def test_opened_sites_are_searched_by_words():
         mask[placed[i], s : s + t] += 1
     assert (free == points).all() and len(occupied.sites) > 500
     assert occupied.sites != sorted(occupied.sites)  # in the order of opening
+
+
+def test_dbscan_lists_no_near_pairs(spark, monkeypatch):
+    """Clusters, borders and noise of scattered points against brute force; torn pairs of a wrong clustering are counted."""
+    monkeypatch.setattr(spatial, "eps_pairs", None)
+    rng = np.random.default_rng(5)
+    xy = np.concatenate((rng.normal(0, 40, (60, 2)), rng.normal(300, 60, (60, 2)), rng.uniform(-900, 900, (120, 2)), [[700.0, 700.0], [700.0, 800.0], [700.0, 900.0]]))
+    near = np.sqrt(((xy[:, None] - xy[None]) ** 2).sum(2)) <= 100
+    p = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(xy)], "idx long, x double, y double")
+    for least in (1, 4):
+        core, label = near.sum(1) >= least, np.arange(len(xy))
+        for _ in range(len(xy)):
+            label = np.array([min(label[near[i] & core]) if core[i] else label[i] for i in range(len(xy))])
+        want = [int(label[i]) if core[i] else int(label[np.flatnonzero(near[i] & core)[0]]) if (near[i] & core).any() else -1 for i in range(len(xy))]
+        got = {r["idx"]: r["cluster"] for r in spatial.dbscan(p, "idx", 100.0, least).collect()}
+        assert [got[i] for i in range(len(xy))] == want
+    wrong = p.withColumn("cluster", F.col("idx") % 3)
+    assert spatial.torn_pairs(wrong, "idx", "cluster", 100.0).count() == sum(near[i, j] and i % 3 != j % 3 for i in range(len(xy)) for j in range(i))
