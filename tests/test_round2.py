@@ -76,3 +76,10 @@ def test_dbscan_lists_no_near_pairs(spark, monkeypatch):
         assert [got[i] for i in range(len(xy))] == want
     wrong = p.withColumn("cluster", F.col("idx") % 3)
     assert spatial.torn_pairs(wrong, "idx", "cluster", 100.0).count() == sum(near[i, j] and i % 3 != j % 3 for i in range(len(xy)) for j in range(i))
+
+
+def test_near_pairs_are_not_joined_by_broadcast(spark):
+    """A side that is spread over nine cells is larger than its estimate, by which it would be broadcast."""
+    p = spark.range(50).select(F.col("id").alias("idx"), (F.col("id") * 40.0).alias("x"), F.lit(1.0).alias("y"))
+    pairs = spatial.eps_pairs(p, "idx", 100.0)
+    assert "BroadcastHashJoin" not in pairs._jdf.queryExecution().executedPlan().toString() and pairs.count() == 49 + 48
