@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chargeplan.llm.common import U64, ByteHash, cut, keep_ids, map_arrow, mix, release
+from chargeplan.llm.common import U64, ByteHash, cut, free, keep_ids, map_arrow, mix, release
 
 GRAM = 40
 LEVELS = (128, 32, 8, 1)
@@ -406,14 +406,19 @@ def suffix_array_dedup(docs: DataFrame, span: int = 400, id_col: str = "doc_id",
             whole = whole.unionAll(matched)
         hits = rows.join(whole, ["key", "ctx"]).select("doc_id", "th", (F.col("start") + F.col("at")).alias("a"), (F.col("start") + F.col("at") + F.col("windows") + span - 1).alias("b"))
         found.append(cut(hits, "hits"))
+        free(few)
         if not size:
+            free(rows, groups)
             break
         hot = several.where(F.col("k") > most).select("key")
         # one place of each context is enough: where a context stands twice, all its places are settled above
         todo = cut(groups.join(hot, "key", "left_semi").select("key", "ctx", "one.*"), "hot")
+        free(rows, groups)
         if todo.isEmpty():
+            free(todo)
             break
         rows = cut(map_arrow(_with_rows(long, todo), _smaller_blocks(span, size), _ROW), "blocks")
+        free(todo)
     spans = found[0]
     for more in found[1:]:
         spans = spans.unionAll(more)
