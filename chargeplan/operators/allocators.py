@@ -260,6 +260,52 @@ def rebalance(events: pd.DataFrame, points: dict[int, int], steps: int) -> pd.Da
     return out
 
 
+def rebalance_near(events: pd.DataFrame, homes: pd.DataFrame, streets: pd.DataFrame, radius: float, steps: int) -> pd.DataFrame:
+    """rebalance() with candidates by distance: street sites at most radius from an event's home site, by location_id. Rows that moved.
+
+    events: event_id, event_start, event_time, location_id, in order; homes and streets: location_id, x, y, streets also
+    charging_points. Occupancy is kept for street sites only, as no event moves to a home, and never counts beyond the points.
+    """
+    streets = streets.sort_values("location_id", kind="stable")
+    ids, points = streets["location_id"].to_numpy(np.int64), streets["charging_points"].to_numpy(np.int64)
+    by_x = np.argsort(streets["x"].to_numpy(float), kind="stable")
+    x, y = streets["x"].to_numpy(float)[by_x], streets["y"].to_numpy(float)[by_x]
+    place = dict(zip(homes["location_id"].tolist(), zip(homes["x"].tolist(), homes["y"].tolist(), strict=True), strict=True))
+    start, location = events["event_start"].to_numpy(np.int64), events["location_id"].to_numpy(np.int64)
+    end = np.minimum(start + events["event_time"].to_numpy(np.int64), steps)
+    first = int(start.min(initial=0))
+    most = int(points.max(initial=0))
+    count = np.zeros((len(ids), max(0, int(end.max(initial=0)) - first)), np.uint8 if most < 255 else np.int64)
+    limit = points.astype(count.dtype)
+    row = np.searchsorted(ids, location)
+    row[(row == len(ids)) | (ids[np.minimum(row, len(ids) - 1)] != location)] = -1
+    begin, stop = (start - first).tolist(), (end - first).tolist()
+    for r, a, b in zip(row.tolist(), begin, stop, strict=True):
+        if r >= 0:
+            window = count[r, a:b]
+            window += window < limit[r]
+    to = np.full(len(events), -1, np.int64)
+    for i, (home, a, b) in enumerate(zip(location.tolist(), begin, stop, strict=True)):
+        at = place.get(home)
+        if at is None:
+            continue
+        slab = slice(np.searchsorted(x, at[0] - radius * (1 + 1e-9)), np.searchsorted(x, at[0] + radius * (1 + 1e-9), "right"))
+        dx, dy = at[0] - x[slab], at[1] - y[slab]
+        near = np.sort(by_x[slab][np.sqrt(dx * dx + dy * dy) <= radius])
+        k, size = 0, 32
+        while k < len(near):
+            some = near[k : k + size]
+            room = (count[some, a:b] < limit[some, None]).all(1)
+            hit = int(room.argmax())
+            if room[hit]:
+                to[i] = ids[some[hit]]
+                count[some[hit], a:b] += 1
+                break
+            k, size = k + size, 2 * size
+    out = events.assign(location_id=to)
+    return out[to >= 0]
+
+
 CAPACITY_KW = 22.0
 
 
@@ -366,18 +412,18 @@ def network_assignment(events: DataFrame, sites: DataFrame, region: str) -> Data
     return e.groupBy("region").cogroup(s.groupBy("region")).applyInPandas(run, "event_id long, event_start int, event_time int, location_id long, assigned_location_id long, was_reassigned boolean, unserved boolean, region long")
 
 
-def street_rebalance(events: DataFrame, points: DataFrame, candidates: DataFrame, region: str, steps: int) -> DataFrame:
-    """rebalance for each region; candidates: (event_id, candidates array)."""
+def street_rebalance(events: DataFrame, sites: DataFrame, region: str, radius: float, steps: int) -> DataFrame:
+    """(event_id, location_id) of events that rebalance_near moves, for each region; sites: location_id, mode, charging_points, x, y."""
 
     def run(key, e: pd.DataFrame, s: pd.DataFrame) -> pd.DataFrame:
-        if not len(e):
-            return pd.DataFrame(columns=["event_id", "event_start", "event_time", "location_id", "moved", "region"])
-        out = rebalance(e.sort_values("event_id", kind="stable"), dict(zip(s["location_id"].astype(int), s["charging_points"].astype(int), strict=True)), steps)
-        return out[["event_id", "event_start", "event_time", "location_id", "moved"]].assign(region=key[0])
-
-    e = events.join(candidates, "event_id", "left").select(F.col(region).alias("region"), "event_id", "event_start", "event_time", "location_id", "candidates")
-    s = points.select(F.col(region).alias("region"), "location_id", "charging_points")
-    return e.groupBy("region").cogroup(s.groupBy("region")).applyInPandas(run, "event_id long, event_start int, event_time int, location_id long, moved boolean, region long")
+        if not len(e) or not len(s):
+            return pd.DataFrame({"event_id": [], "location_id": []})
+        street = s["mode"] == "street"
+        return rebalance_near(e.sort_values("event_id", kind="stable"), s[~street], s[street], radius, steps)[["event_id", "location_id"]]
+
+    e = events.select(F.col(region).alias("region"), "event_id", "event_start", "event_time", "location_id")
+    s = sites.select(F.col(region).alias("region"), "location_id", "mode", "charging_points", "x", "y")
+    return e.groupBy("region").cogroup(s.groupBy("region")).applyInPandas(run, "event_id long, location_id long")
 
 
 def decomposition(counts: DataFrame, means: dict[int, tuple[float, float]], seed: int = 1) -> DataFrame:

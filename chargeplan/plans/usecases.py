@@ -11,7 +11,7 @@ from chargeplan.config import ScenarioConfig
 from chargeplan.functions.scalars import WEEK_STEPS, differs, not_in, site_id, street_name, uniform
 from chargeplan.operators import allocators, intervals
 from chargeplan.operators.relational import checkpointed, dense_index, weighted_pick
-from chargeplan.operators.spatial import components, distance_join
+from chargeplan.operators.spatial import near_regions
 
 
 @dataclass
@@ -183,29 +183,20 @@ def public(events: DataFrame, poi: DataFrame, home_sites: DataFrame, cfg: Scenar
     return rebalanced(located, sites, cfg, street)
 
 
-def street_candidates(located: DataFrame, sites: DataFrame, radius: float = 1000.0) -> DataFrame:
-    """(event_id, candidates): street sites at most radius from the home-street site of an event, in order of position."""
-    place = sites.select("location_id", F.col("x").alias("ex"), F.col("y").alias("ey"))
-    e = located.where("mode = 'home_street'").select("event_id", "location_id").join(place, "location_id").drop("location_id")
-    street = sites.where("mode = 'street'").select(F.col("location_id").alias("candidate"), "x", "y")
-    return distance_join(e, street, radius, "ex", "ey", "x", "y").groupBy("event_id").agg(F.array_sort(F.collect_list("candidate")).alias("candidates"))
-
-
-def rebalanced(located: DataFrame, sites: DataFrame, cfg: ScenarioConfig, street: DataFrame) -> Located:
+def rebalanced(located: DataFrame, sites: DataFrame, cfg: ScenarioConfig, street: DataFrame, radius: float = 1000.0) -> Located:
     """Home-street events move to near idle street points; then every site gets its peak as points and those without go.
 
-    Sites that an event can move between are linked; components of these links are independent of each other and run in
-    parallel. Events elsewhere stay, and no kernel sees them.
+    Regions that no event can leave are independent of each other and run in parallel. Events elsewhere stay, and no kernel
+    sees them. A kernel finds an event's candidates from coordinates, so no list of candidates is stored or sent.
     """
-    candidates = checkpointed(street_candidates(located, sites))
-    links = located.select("event_id", F.col("location_id").alias("a")).join(candidates.select("event_id", F.explode("candidates").alias("b")), "event_id").select("a", "b").distinct()
-    ends = links.select(F.col("a").alias("location_id")).unionAll(links.select("b")).distinct()
-    region = checkpointed(components(ends, links, "location_id").withColumnRenamed("component", "region"))
+    at_home = located.where("mode = 'home_street'").select("location_id").distinct()
+    homes = sites.where("mode = 'home_street'").join(at_home, "location_id", "left_semi")
+    places = homes.unionByName(sites.where("mode = 'street'")).select("location_id", "mode", "charging_points", "x", "y")
+    region = checkpointed(near_regions(homes, sites.where("mode = 'street'"), radius, "location_id"))
     inside = lambda d: d.join(region, "location_id")
-    got = allocators.street_rebalance(inside(located.select("event_id", "event_start", "event_time", "location_id")), inside(sites.select("location_id", "charging_points")), candidates, "region", 2 * cfg.simulation_steps)
-    got = located.select("event_id", F.col("location_id").alias("_from")).join(got.select("event_id", F.col("location_id").alias("_to"), "moved"), "event_id", "left")
-    got = got.select("event_id", F.coalesce("_to", "_from").alias("_to"), F.coalesce("moved", F.lit(False)).alias("moved"))
-    out = located.join(got, "event_id").withColumn("location_id", F.col("_to")).withColumn("mode", F.when(F.col("moved"), "street").otherwise(F.col("mode"))).drop("_to", "moved")
+    got = allocators.street_rebalance(inside(located.select("event_id", "event_start", "event_time", "location_id")), inside(places), "region", radius, 2 * cfg.simulation_steps)
+    got = checkpointed(got.select("event_id", F.col("location_id").alias("_to")))
+    out = located.join(got, "event_id", "left").withColumn("location_id", F.coalesce("_to", "location_id")).withColumn("mode", F.when(F.col("_to").isNotNull(), "street").otherwise(F.col("mode"))).drop("_to")
     top = intervals.peak(out, ["location_id"]).withColumnRenamed("peak", "charging_points")
     left = sites.drop("charging_points").join(top, "location_id").where("charging_points > 0")
     return Located(left, out, kpi("public", left, street))
