@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -174,8 +175,7 @@ def public(events: DataFrame, poi: DataFrame, home_sites: DataFrame, cfg: Scenar
         return Located(used, located, kpi("public", used, street))
     home_events, other = street.where(F.col("location") == "home"), street.where(differs(F.col("location"), "home"))
     poi = poi.withColumnRenamed("Category_Weight", "weight") if "Category_Weight" in poi.columns else poi
-    a = shared(other, poi, "public", "weight", cfg.simulation_steps)
-    b = shared(home_events, home_sites, "public", "households_total", cfg.simulation_steps)
+    a, b = at_once([lambda: shared(other, poi, "public", "weight", cfg.simulation_steps), lambda: shared(home_events, home_sites, "public", "households_total", cfg.simulation_steps)])
     n = _offset(poi)
     moved_id = lambda d, c: d.withColumn("location_id", site_id("public", F.col(c) + n))
     sites = a.sites.withColumn("mode", F.lit("street")).unionByName(moved_id(b.sites, "idx").withColumn("mode", F.lit("home_street")), True)
@@ -217,23 +217,33 @@ def run_scenario(cfg: ScenarioConfig, events: DataFrame, sites: dict[str, DataFr
         limited = intervals.limit_parking(events.where(street), cfg.charging_time_limit_duration, cfg.charging_time_limit_start, cfg.charging_time_limit_end, unit=cfg.limit_unit)
         events = limited.unionByName(events.where(not_in(F.col("charging_use_case"), "street")), allowMissingColumns=True)
     events = checkpointed(events) if cfg.charging_time_limit else events  # read by six use cases
-    out, leftovers = {}, None
-    if "home" in cfg.run:
-        out["home_apartment"], out["home_detached"] = home(events, sites["home_apartment"], "apartment", cfg.simulation_steps), home(events, sites["home_detached"], "detached")
-    if "work" in cfg.run:
-        out["work"] = work(events, sites["work"], cfg, sites.get("office") if cfg.use_case_multi_use == "work" else None)
-        leftovers = out["work"].leftovers
-    if "hpc" in cfg.run:
-        out["hpc"] = hpc(events, sites["hpc"], cfg.simulation_steps)
-    if "retail" in cfg.run:
-        out["retail"] = retail(events, sites["retail"], cfg)
-        leftovers = out["retail"].leftovers if out["retail"].leftovers is not None else leftovers
-    if "public" in cfg.run:
-        network = (sites["network_sites"], sites["network_events"]) if cfg.additional_input_public_locations else None
-        out["public"] = public(events, sites["public"], sites["home_street"], cfg, leftovers, network)
-    if "depot" in cfg.run:
-        out["depot"] = depot(events, sites["depot"], cfg.simulation_steps)
-    return out
+    network = (sites["network_sites"], sites["network_events"]) if cfg.additional_input_public_locations else None
+    run, steps = set(cfg.run), cfg.simulation_steps
+    parts = {
+        "home": {"home_apartment": lambda: home(events, sites["home_apartment"], "apartment", steps), "home_detached": lambda: home(events, sites["home_detached"], "detached")},
+        "work": {"work": lambda: work(events, sites["work"], cfg, sites.get("office") if cfg.use_case_multi_use == "work" else None)},
+        "hpc": {"hpc": lambda: hpc(events, sites["hpc"], steps)},
+        "retail": {"retail": lambda: retail(events, sites["retail"], cfg)},
+        "public": {"public": lambda: public(events, sites["public"], sites["home_street"], cfg, None, network)},
+        "depot": {"depot": lambda: depot(events, sites["depot"], steps)},
+    }
+    order = [name for part, own in parts.items() if part in run for name in own]
+    last = ["public"] if "public" in run and cfg.multi_use_concept else []  # it waits for what multi-use leaves over
+    makes = {name: make for own in parts.values() for name, make in own.items()}
+    first = [name for name in order if name not in last]
+    out = dict(zip(first, at_once([makes[name] for name in first]), strict=True))
+    if last:
+        left = [out[k].leftovers for k in ("retail", "work") if k in out and out[k].leftovers is not None]
+        out["public"] = public(events, sites["public"], sites["home_street"], cfg, left[0] if left else None, network)
+    return {name: out[name] for name in order}
+
+
+def at_once(makes: list) -> list:
+    """What the functions return. Their jobs run side by side: an allocation is one task, and use cases are independent."""
+    if not makes:
+        return []
+    with ThreadPoolExecutor(len(makes)) as pool:
+        return [f.result() for f in [pool.submit(m) for m in makes]]
 
 
 def summary(results: dict[str, Located]) -> DataFrame:
