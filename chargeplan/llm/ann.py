@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from chargeplan.llm.common import cut, map_arrow
+from chargeplan.llm.common import cut, free, map_arrow
 
 
 def chi_square_quantile(p: float, n: int) -> float:
@@ -250,20 +250,23 @@ def nearest_neighbours(vectors: DataFrame, every: int = 20, k: int = 20, id_col:
     Other columns are not read.
     """
     v = F.col("v")
-    fine = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast("array<double>").alias("v"))
+    kind = "float" if vectors.schema[vec_col].dataType.simpleString() == "array<float>" else "double"  # floats are stored as they are
+    fine = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast(f"array<{kind}>").alias("v"))
     fine = fine.where(F.col("vec_id").isNotNull() & v.isNotNull() & (F.size("v") > 0))
     fine = fine.where(F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0))
     # equal by value: -0.0 is 0.0
-    fine = fine.withColumn("v", F.transform("v", lambda x: x + F.lit(0.0))).dropDuplicates(["vec_id"])
+    fine = fine.withColumn("v", F.transform("v", lambda x: x + F.lit(0.0).cast(kind))).dropDuplicates(["vec_id"])
     fine = cut(fine.withColumn("h", F.xxhash64("v")).withColumn("h2", F.hash("v")), "vectors")
     classes = fine.groupBy("h", "h2").agg(F.min("vec_id").alias("class"), F.count(F.lit(1)).alias("members"))
     salted = Window.partitionBy("h", "h2", "salt").orderBy("vec_id")
     few = fine.select("h", "h2", "vec_id").withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.lit(64))).withColumn("r", F.row_number().over(salted)).where(F.col("r") <= k + 1)
     few = few.withColumn("r", F.row_number().over(Window.partitionBy("h", "h2").orderBy("vec_id"))).where(F.col("r") <= k + 1)
     members = cut(few.join(classes, ["h", "h2"]).select("class", "vec_id"), "members")
-    reps = cut(fine.join(classes.select(F.col("class").alias("vec_id")), "vec_id", "left_semi").select(F.col("vec_id").alias("class"), "v", F.size("v").alias("d")), "reps")
-    square, largest = F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x), F.array_max(F.transform("v", F.abs))
-    n, top, most, d = reps.agg(F.count(F.lit(1)), F.max(square), F.max(largest), F.max("d")).first()
+    copies = cut(fine.select("h", "h2", "vec_id").join(classes.where("members > 1"), ["h", "h2"]).where("vec_id <> class").select("vec_id"), "copies")
+    more = copies.count()
+    reps = fine.join(F.broadcast(copies) if more <= 500_000 else copies, "vec_id", "left_anti").select(F.col("vec_id").alias("class"), "v", F.size("v").alias("d"))
+    square, largest = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")), F.array_max(F.transform("v", F.abs)).cast("double")
+    n, top, most, d = fine.agg(F.count(F.lit(1)) - more, F.max(square), F.max(largest), F.max(F.size("v"))).first()
     # M, or a bound of it where squares leave the range of doubles
     top = 1.0 if not n else top**0.5 if 1e-200 < top < 1e300 else most * d**0.5
     queries = fine.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), "v", F.size("v").alias("d"))
@@ -273,8 +276,10 @@ def nearest_neighbours(vectors: DataFrame, every: int = 20, k: int = 20, id_col:
     left = queries.withColumn("j", spread("query_id", m, group)).groupBy("d", "j").applyInArrow(_group, GROUP)
     right = reps.withColumn("i", spread("class", n, block)).groupBy("d", "i").applyInArrow(_block(top, dims), BLOCK)
     # every group passes over all blocks of a task; neither is shuffled for that
-    right = cut(right, "blocks").withColumnRenamed("d", "e")
-    met = cut(left, "groups").join(right.hint("shuffle_replicate_nl"), F.col("d") == F.col("e")).drop("e")
+    right, left = cut(right, "blocks"), cut(left, "groups")
+    free(fine, copies)
+    right = right.withColumnRenamed("d", "e")
+    met = left.join(right.hint("shuffle_replicate_nl"), F.col("d") == F.col("e")).drop("e")
     found = map_arrow(met, _search(k + 1, dims, certainty, top), "query_id long, class long, near double")
     # the nearest classes over all blocks, by the exact measure, then their members
     best = Window.partitionBy("query_id").orderBy(F.desc("near"), "class")
