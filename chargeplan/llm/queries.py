@@ -53,7 +53,7 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from chargeplan.llm.suffix_dedup import suffix_array_dedup
 
-    return suffix_array_dedup(table(spark, sf_dir, "documents"), span=400)
+    return suffix_array_dedup(table(spark, sf_dir, "documents"), span=400, also=256)
 
 
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

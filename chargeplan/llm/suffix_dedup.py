@@ -14,6 +14,9 @@ at most, so they share no window.
 3. Keys with more contexts (a passage in very many documents) are parted: windows are grouped by their place relative to the
    key's k-gram, in blocks, and by the bytes that all windows of a block share; blocks shrink from level to level, and at one
    window a block the key is the window itself. No list is cut and no group grows with the input.
+
+Shorter strings can be counted beside (``also``). They come first, by the same steps: a longer string can only stand elsewhere
+if its bytes are covered by shorter ones that do, so the longer windows are looked for in those bytes only.
 """
 
 from __future__ import annotations
@@ -23,12 +26,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chargeplan.llm.common import U64, ByteHash, cut, free, keep_ids, map_arrow, mix, release
 
-GRAM = 40
+#: Bytes of a k-gram: as many as leave every window of the largest blocks its key, within these bounds. Longer ones meet less by chance.
+GRAM, MOST_GRAM = 40, 100
 LEVELS = (128, 32, 8, 1)
 SEPARATOR = 255
 
@@ -230,17 +235,22 @@ def _stretches(n: int, span: int, most: int = 1 << 20) -> Iterator[tuple[int, in
         yield a, min(n, a + most + span - 1)
 
 
-def _grams(h: ByteHash, buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _gram(span: int) -> int:
+    return min(MOST_GRAM, (span - LEVELS[0]) // 2)
+
+
+def _grams(h: ByteHash, buf: np.ndarray, gram: int) -> tuple[np.ndarray, np.ndarray]:
     p = h.prefix(buf)
-    at = np.arange(len(buf) - GRAM + 1)
-    return p, h.spans(p, at, at + GRAM)
+    at = np.arange(len(buf) - gram + 1)
+    return p, h.spans(p, at, at + gram)
 
 
 def runs(h: ByteHash, buf: np.ndarray, span: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """(key, hash of the context, first window, windows) of all runs."""
-    w = span - GRAM + 1
+    gram = _gram(span)
+    w = span - gram + 1
     for a, b in _stretches(len(buf), span):
-        p, g = _grams(h, buf[a:b])
+        p, g = _grams(h, buf[a:b], gram)
         key, at = _sliding_min(g, w)
         first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
         count = np.diff(np.append(first, len(key)))
@@ -250,15 +260,16 @@ def runs(h: ByteHash, buf: np.ndarray, span: int) -> Iterator[tuple[np.ndarray,
 def blocks(h: ByteHash, buf: np.ndarray, start: int, count: int, span: int, size: int) -> tuple[np.ndarray, ...]:
     """(key, hash of the context, first window, windows) of one run parted by place relative to its key's k-gram."""
     part = buf[start : start + count + span - 1]
-    p, g = _grams(h, part)
-    _, mine = _sliding_min(g, span - GRAM + 1)
+    gram = _gram(span)
+    p, g = _grams(h, part, gram)
+    _, mine = _sliding_min(g, span - gram + 1)
     window = np.arange(count)
     block = (mine - window) // size
     first = np.flatnonzero(np.concatenate(([True], block[1:] != block[:-1])))
     n = np.diff(np.append(first, count))
     # what all windows of a whole block share, so that a block cut short at a run's end still meets its like
     lo, hi = mine[first] - block[first] * size, mine[first] - block[first] * size - size + 1 + span
-    hi = np.maximum(hi, lo + GRAM)
+    hi = np.maximum(hi, lo + gram)
     lo, hi = np.clip(lo, 0, len(part)), np.clip(hi, 0, len(part))
     same = mix(h.spans(p, lo, hi) + (block[first] + 1).astype(np.uint64) * U64(0x9E3779B97F4A7C15) + U64(size))
     return same, h.spans(p, first, first + n + span - 1), first + start, n
@@ -276,19 +287,41 @@ def _rows(parts: list[tuple], docs: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(ctx.view(np.int64)), doc, pa.array(th), pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32))], _NAMES)
 
 
+def _merged(spans: pa.ListArray) -> list[list[tuple[int, int]]]:
+    """For each list of (a, b) its maximal runs in order; touching ones are one. A null list has none."""
+    size = pc.fill_null(pc.list_value_length(spans), 0).to_numpy(zero_copy_only=False)
+    out = [[] for _ in size]
+    flat = spans.flatten()
+    if len(flat):
+        row = np.repeat(np.arange(len(size), dtype=np.int64), size)
+        lo, hi = ((row << 32) + pc.struct_field(flat, c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("a", "b"))
+        order = np.argsort(lo, kind="stable")
+        lo, top = lo[order], np.maximum.accumulate(hi[order])
+        first = np.flatnonzero(np.concatenate(([True], lo[1:] > top[:-1])))
+        lo, top = lo[first], top[np.append(first[1:], len(top)) - 1]
+        for i, a, b in zip((lo >> 32).tolist(), (lo & 0xFFFFFFFF).tolist(), (top & 0xFFFFFFFF).tolist(), strict=True):
+            out[i].append((a, b))
+    return out
+
+
 def _all_runs(span: int):
+    """Runs of whole texts, or of the merged spans that stand beside them."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         h = ByteHash(lower=False)
         for b in batches:
             parts, docs, size = [], [], 0
-            for doc, th, text in zip(b.column("doc_id").to_pylist(), b.column("th").to_pylist(), b.column("text"), strict=True):
+            within = _merged(b.column("spans")) if "spans" in b.schema.names else [None] * len(b)
+            for doc, th, text, bounds in zip(b.column("doc_id").to_pylist(), b.column("th").to_pylist(), b.column("text"), within, strict=True):
                 raw = text.as_py()
                 if raw is None or len(raw) < span:
                     continue
-                for part in runs(h, np.frombuffer(raw, np.uint8), span):
-                    parts.append(part)
-                    docs.append((doc, th))
-                    size += len(part[0])
+                buf = np.frombuffer(raw, np.uint8)
+                for lo, hi in [(0, len(raw))] if bounds is None else bounds:
+                    for key, ctx, start, n in runs(h, buf[lo:hi], span) if hi - lo >= span else ():
+                        parts.append((key, ctx, start + lo, n))
+                        docs.append((doc, th))
+                        size += len(key)
                 if size > 200_000:
                     yield _rows(parts, docs)
                     parts, docs, size = [], [], 0
@@ -328,11 +361,41 @@ def _contexts(span: int):
     return run
 
 
+def may_repeat(key: np.ndarray, contexts: list[bytes], span: int, h: ByteHash) -> np.ndarray:
+    """Which contexts may share a window with another of the same key (long, for each context).
+
+    Of a window's bytes around the key's k-gram at least half are on one side, so contexts that share a window have that half in
+    common at least. A context's k-gram is the first one with that hash; those without one (blocks have keys of their own) may repeat.
+    """
+    gram, half = _gram(span), (span - _gram(span) + 1) // 2
+    size = np.array([len(c) for c in contexts], np.int64)
+    end = np.cumsum(size)
+    start = end - size
+    p, g = _grams(h, np.frombuffer(b"".join(contexts), np.uint8), gram)
+    at = np.flatnonzero(g == np.repeat(key.view(np.uint64), size)[: len(g)])
+    row = np.searchsorted(end, at, side="right")
+    inside = at + gram <= end[row]
+    row, first = np.unique(row[inside], return_index=True)
+    place = at[inside][first]
+    out = np.ones(len(contexts), bool)
+    out[row] = False
+    for lo, hi in ((place - half, place + gram), (place, place + gram + half)):
+        whole = np.flatnonzero((lo >= start[row]) & (hi <= end[row]))
+        mine = row[whole]
+        same = mix(h.spans(p, lo[whole], hi[whole]) + mix(key[mine].view(np.uint64)))
+        _, which, count = np.unique(same, return_inverse=True, return_counts=True)
+        out[mine[count[which] > 1]] = True
+    return out
+
+
 def _shard(span: int):
     def run(t: pa.Table) -> pa.Table:
         h = ByteHash(lower=False)
+        t = t.filter(pa.array(may_repeat(t.column("key").to_numpy(), [x.as_py() for x in t.column("bytes")], span, h)))
         key, ctx, contexts = t.column("key").to_pylist(), t.column("ctx").to_pylist(), [x.as_py() for x in t.column("bytes")]
         out = [[], [], [], []]
+        if not key:
+            return pa.table([pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], pa.int32()), pa.array([], pa.int32())], names=["key", "ctx", "at", "windows"])
         for k, c, hit in zip(key, ctx, repeated_windows(contexts, span, h), strict=True):
             edge = np.flatnonzero(np.diff(np.concatenate(([0], hit.astype(np.int8), [0]))))
             for a, b in zip(edge[0::2].tolist(), edge[1::2].tolist(), strict=True):
@@ -344,29 +407,24 @@ def _shard(span: int):
     return run
 
 
-def _removed(text: bool, carried: list[str]):
+def _removed(text: bool, carried: list[str], also: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = [[], [], [], [], []]
-            for raw, spans in zip(b.column("text"), b.column("spans").to_pylist(), strict=True):
+            for raw, spans in zip(b.column("text"), _merged(b.column("spans")), strict=True):
                 raw = raw.as_py() or b""
-                kept, at, gone, count = [], 0, 0, 0
-                for x in sorted(spans or [], key=lambda x: x["a"]):
-                    if not count or x["a"] > at:
-                        kept.append(raw[at : x["a"]])
-                        count += 1
-                        gone -= x["a"]
-                        gone += x["b"]
-                        at = x["b"]
-                    elif x["b"] > at:
-                        gone += x["b"] - at
-                        at = x["b"]
+                kept, at = [], 0
+                for lo, hi in spans:
+                    kept.append(raw[at:lo])
+                    at = hi
                 kept.append(raw[at:])
                 whole = b"".join(kept)
-                for col, v in zip(out, (len(raw), gone, count, hashlib.sha256(whole).hexdigest(), whole.decode("utf-8", "ignore")), strict=True):
+                for col, v in zip(out, (len(raw), len(raw) - len(whole), len(spans), hashlib.sha256(whole).hexdigest(), whole.decode("utf-8", "ignore") if text else None), strict=True):
                     col.append(v)
             cols = [b.column("doc_id"), pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()), pa.array(out[3], pa.string())]
             names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+            if also:
+                cols, names = [*cols, pa.array([sum(hi - lo for lo, hi in x) for x in _merged(b.column("short"))], pa.int64())], [*names, "n_repeated"]
             if text:
                 cols, names = [*cols, pa.array(out[4], pa.string())], [*names, "kept"]
             yield pa.RecordBatch.from_arrays([*cols, *[b.column(c) for c in carried]], [*names, *carried])
@@ -374,21 +432,43 @@ def _removed(text: bool, carried: list[str]):
     return run
 
 
-def suffix_array_dedup(docs: DataFrame, span: int = 400, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False, carry: tuple[str, ...] = (), most: int = 256, shard_bytes: int = 1 << 19) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256[, kept, carried columns]), one row per row of docs.
+def suffix_array_dedup(docs: DataFrame, span: int = 400, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False, carry: tuple[str, ...] = (), most: int = 256, shard_bytes: int = 1 << 19, also: int | None = None) -> DataFrame:
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256[, n_repeated][, kept, carried columns]), one row per row of docs.
 
     Texts are UTF-8 bytes, null is empty; texts under ``span`` bytes hold no window. Repeated rows repeat each other: all their
     windows go. Null ids are handled like any other value, but null ids with one text share a result (it is the same for both).
     kept drops bytes that a cut leaves as broken characters. Other columns are not read. Exact up to 64-bit hash collisions.
+    With ``also``, a smaller span, n_repeated counts the bytes covered by strings of so many bytes that also start anywhere else;
+    of these only what strings of ``span`` bytes cover is removed.
     """
     no_id = -(1 << 62)
-    if span < 2 * GRAM + LEVELS[0]:
+    if min(span, span if also is None else also) < 2 * GRAM + LEVELS[0]:
         raise ValueError(f"span must be at least {2 * GRAM + LEVELS[0]}")
+    if also is not None and also > span:
+        raise ValueError("also must be at most span")
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.encode(F.col(text_col), "UTF-8").alias("text"), *[F.col(c).alias(f"carry_{c}") for c in carry]).withColumn("th", F.coalesce(F.xxhash64("text"), F.lit(0)))
     carried = [f"carry_{c}" for c in carry]
     named = docs.withColumn("doc_id", F.coalesce("doc_id", F.lit(no_id)))
-    long = named.where(F.octet_length("text") >= span)
-    rows = cut(map_arrow(long.select("doc_id", "th", "text"), _all_runs(span), _ROW), "runs")
+    source = named.select("doc_id", "th", "text").where(F.octet_length("text") >= span)
+    if also is not None:
+        short = cut(_repeats(named.select("doc_id", "th", "text").where(F.octet_length("text") >= also), also, most, shard_bytes), "short")
+        source = _with_rows(source, short.where(F.col("covered") >= span), "spans")
+    spans = _repeats(named.where(F.octet_length("text") >= span), span, most, shard_bytes, source)
+    wide = named.join(spans, ["doc_id", "th"], "left")
+    if also is not None:
+        wide = wide.join(short.select("doc_id", "th", F.col("spans").alias("short")), ["doc_id", "th"], "left")
+    wide = wide.select(F.when(F.col("doc_id") != no_id, F.col("doc_id")).alias("doc_id"), "text", "spans", *["short"] * (also is not None), *carried)
+    kinds = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", n_repeated long" * (also is not None) + ", kept string" * keep_text
+    kinds += "".join(f", `{c}` {wide.schema[c].dataType.simpleString()}" for c in carried)
+    return map_arrow(wide, _removed(keep_text, carried, also is not None), kinds).withColumnsRenamed(dict(zip(carried, carry, strict=True)))
+
+
+def _repeats(long: DataFrame, span: int, most: int, shard_bytes: int, source: DataFrame | None = None) -> DataFrame:
+    """(doc_id, th, spans, covered): spans of bytes covered by windows that stand elsewhere too, and an upper bound of their bytes.
+
+    long: doc_id, th and text of at least span bytes; source: the same, with the spans that windows lie in.
+    """
+    rows = cut(map_arrow(long.select("doc_id", "th", "text") if source is None else source, _all_runs(span), _ROW), "runs")
     found = []
     for size in (*LEVELS, 0):
         groups = cut(rows.groupBy("key", "ctx").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("doc_id", "th", "start", "n")).alias("one")), "groups")
@@ -422,15 +502,11 @@ def suffix_array_dedup(docs: DataFrame, span: int = 400, id_col: str = "doc_id",
     spans = found[0]
     for more in found[1:]:
         spans = spans.unionAll(more)
-    spans = spans.groupBy("doc_id", "th").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
-    wide = named.join(spans, ["doc_id", "th"], "left").select(F.when(F.col("doc_id") != no_id, F.col("doc_id")).alias("doc_id"), "text", "spans", *carried)
-    kinds = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept string" * keep_text
-    kinds += "".join(f", `{c}` {wide.schema[c].dataType.simpleString()}" for c in carried)
-    return map_arrow(wide, _removed(keep_text, carried), kinds).withColumnsRenamed(dict(zip(carried, carry, strict=True)))
+    return spans.groupBy("doc_id", "th").agg(F.collect_list(F.struct("a", "b")).alias("spans"), F.sum(F.col("b") - F.col("a")).alias("covered"))
 
 
-def _with_rows(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """(doc_id, th, text, want): texts with what is wanted of them; repeated rows come once."""
-    want = rows.groupBy("doc_id", "th").agg(F.collect_list(F.struct("key", "ctx", "start", "n")).alias("want"))
+def _with_rows(docs: DataFrame, rows: DataFrame, lists: str = "want") -> DataFrame:
+    """(doc_id, th, text, lists): texts with what is wanted of them, gathered here if rows have no such lists yet."""
+    want = rows.select("doc_id", "th", lists) if lists in rows.columns else rows.groupBy("doc_id", "th").agg(F.collect_list(F.struct("key", "ctx", "start", "n")).alias(lists))
     ids = cut(rows.select("doc_id").distinct(), "ids")
-    return keep_ids(docs, ids).join(want, ["doc_id", "th"]).select("doc_id", "th", "text", "want")
+    return keep_ids(docs, ids).join(want, ["doc_id", "th"]).select("doc_id", "th", "text", lists)
